@@ -59,10 +59,8 @@ def _join_on(df: DataFrame, right: DataFrame, keys: Sequence[str], how: str, ext
     names = [*keys, *extra]
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in names})
     condition = same_keys(
-        [df[f"`{k}`"] for k in keys], [renamed[f"`__r_{k}`"] for k in keys]
+        [df[f"`{k}`"] for k in names], [renamed[f"`__r_{k}`"] for k in names]
     )
-    for name in extra:
-        condition = condition & (df[f"`{name}`"] == renamed[f"`__r_{name}`"])
     return df.join(renamed, condition, how).drop(*[f"__r_{k}" for k in names])
 
 
