@@ -170,7 +170,7 @@ _NSNR_BASE = f"""a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag,
 
 def _answers(spark, sf_dir):
     text = {q: F.expr(sql.replace("VARCHAR", "STRING")) for q, sql in _ANSWERS.items()}
-    return table(spark, sf_dir, "lineitem").select(
+    return table(spark, sf_dir, "lineitem", "l_orderkey").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag",
         (F.col("l_suppkey") % 10).alias("agent"), *[c.alias(q) for q, c in text.items()],
     )
@@ -398,7 +398,7 @@ def document_duplicates(spark, sf_dir):
     """Whole texts as identities; only their digests are grouped."""
     plain = F.replace(F.col("text"), F.lit("ß"), F.lit("ss"))
     identity = duplicates.identity([(F.lit(True), [plain])])
-    docs = table(spark, sf_dir, "documents").select(
+    docs = table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", F.when(identity == "", "").otherwise(F.sha2(identity, 256)).alias("identity")
     )
     out = duplicates.flag_duplicates(docs, "identity", "doc_id")

@@ -23,7 +23,7 @@ from canvass.functions.text import (
 from canvass.operators import textquality
 from canvass.sources.tables import label_dictionary
 
-WHITE = r"[\s\p{Z}]"
+WHITE = r"[\s\x{0b}\x{85}\p{Z}]"
 
 # A rule list written for the given texts; codes 3 and above 9 have no rule.
 RULES = [
@@ -76,7 +76,7 @@ _COMMENTS = f"""WITH d AS (
 
 
 def _comments(spark, sf_dir):
-    df = table(spark, sf_dir, "documents").select(
+    df = table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", F.nullif(F.col("doc_id") % 10, F.lit(0)).alias("declared"), "text"
     )
     return textquality.classify_comments(df, "text", RULES, LABELS, "NO CLEAR CATEGORY")
@@ -130,7 +130,7 @@ def garbage_text(spark, sf_dir):
     f"""SELECT doc_id, {garbage_sql('text')} AS trash FROM documents""",
 )
 def garbage_documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", is_garbage("text").alias("trash"))
+    return table(spark, sf_dir, "documents", "doc_id").select("doc_id", is_garbage("text").alias("trash"))
 
 
 @query(
@@ -143,7 +143,7 @@ def garbage_documents(spark, sf_dir):
 )
 def garbage_lines(spark, sf_dir):
     """Every line of every document read as one free-text answer."""
-    lines = table(spark, sf_dir, "documents").select(
+    lines = table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", F.explode(F.split("text", "\n")).alias("line")
     )
     return lines.groupBy("doc_id").agg(
@@ -153,7 +153,7 @@ def garbage_lines(spark, sf_dir):
 
 @query("garbage_urls", f"SELECT page_id, {garbage_sql('url')} AS trash FROM pages")
 def garbage_urls(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", is_garbage("url").alias("trash"))
+    return table(spark, sf_dir, "pages", "page_id").select("page_id", is_garbage("url").alias("trash"))
 
 
 @query(
@@ -167,7 +167,7 @@ def garbage_urls(spark, sf_dir):
 )
 def label_dictionary_query(spark, sf_dir):
     """Pages as form questions: the host is the name, the page its label."""
-    pages = table(spark, sf_dir, "pages").select(
+    pages = table(spark, sf_dir, "pages", "page_id").select(
         "page_id", "html", F.regexp_extract("url", "//([^/]+)/", 1).alias("name")
     )
     mobile = F.col("name").startswith("m.")
@@ -180,7 +180,7 @@ def label_dictionary_query(spark, sf_dir):
     r"SELECT page_id, md5(regexp_replace(html, '<[^>]*>', '', 'g')) AS digest FROM pages",
 )
 def strip_html_query(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.md5(strip_html("html")).alias("digest"))
+    return table(spark, sf_dir, "pages", "page_id").select("page_id", F.md5(strip_html("html")).alias("digest"))
 
 
 _CAPITALS = "translate(upper({x}), 'ÁÉÍÓÚÑ', 'AEIOUN')"
@@ -196,7 +196,7 @@ _CAPITALS = "translate(upper({x}), 'ÁÉÍÓÚÑ', 'AEIOUN')"
 )
 def text_cleaning(spark, sf_dir):
     plain = F.replace(F.col("text"), F.lit("ß"), F.lit("ss"))
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id",
         F.md5(squish("text")).alias("squished"),
         F.md5(trim_all("text")).alias("trimmed"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from canvass.functions.columns import ColumnLike, as_column
@@ -30,24 +30,48 @@ _KRUGER = (
 )
 
 
-def utm(
-    longitude: ColumnLike, latitude: ColumnLike, zone: int, south: bool = True
-) -> tuple[Column, Column]:
-    """Easting and northing in metres (Krüger's series to third order)."""
-    lam = F.radians(as_column(longitude)) - F.lit(math.radians(zone * 6 - 183))
-    phi = F.radians(as_column(latitude))
+def with_utm(
+    df: DataFrame,
+    longitude: ColumnLike,
+    latitude: ColumnLike,
+    zone: int,
+    *,
+    south: bool = True,
+    x: str = "utm_x",
+    y: str = "utm_y",
+) -> DataFrame:
+    """Add easting and northing in metres (Krüger's series to third order).
+
+    The series is laid out in steps, each a column of its own, so that nothing is worked
+    out twice and the expressions stay small.
+    """
     k = 2 * math.sqrt(_N) / (1 + _N)
-    t = F.sinh(F.atanh(F.sin(phi)) - k * F.atanh(k * F.sin(phi)))
-    xi = F.atan2(t, F.cos(lam))
-    eta = F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
+    lam, phi, t, xi, eta = (F.col(f"__{n}") for n in ("lam", "phi", "t", "xi", "eta"))
+    steps = [
+        {
+            "__lam": F.radians(as_column(longitude)) - F.lit(math.radians(zone * 6 - 183)),
+            "__phi": F.sin(F.radians(as_column(latitude))),
+        },
+        {"__t": F.sinh(F.atanh(phi) - k * F.atanh(k * phi))},
+        {
+            "__xi": F.atan2(t, F.cos(lam)),
+            "__eta": F.atanh(F.sin(lam) / F.sqrt(1 + t * t)),
+        },
+    ]
     east, north = eta, xi
     for j, a in enumerate(_KRUGER, start=1):
         east = east + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         north = north + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
     radius = SCALE * _RECTIFYING_RADIUS
-    easting = FALSE_EASTING + radius * east
-    northing = (FALSE_NORTHING_SOUTH if south else 0.0) + radius * north
-    return easting, northing
+    steps.append(
+        {
+            x: FALSE_EASTING + radius * east,
+            y: (FALSE_NORTHING_SOUTH if south else 0.0) + radius * north,
+        }
+    )
+    for step in steps:
+        df = df.withColumns(step)
+    return df.drop("__lam", "__phi", "__t", "__xi", "__eta")
 
 
 def rings_from_wkt(wkt: ColumnLike) -> Column:
@@ -65,42 +89,58 @@ def rings_from_wkt(wkt: ColumnLike) -> Column:
 
 
 def segments(rings: ColumnLike) -> Column:
-    """All edges of all rings as ``struct<x1, y1, x2, y2>``."""
+    """All edges of all rings: start, direction, and what the distance needs of both.
 
-    def edges(ring: Column) -> Column:
-        starts = F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0)))
-        ends = F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0)))
-        return F.zip_with(
-            starts,
-            ends,
-            lambda a, b: F.struct(
-                a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")
-            ),
+    ``inv`` is the inverse squared length (0 for a point), ``slope`` the change of x per y
+    (unused for a horizontal edge). They are worked out once per polygon.
+    """
+
+    def edge(a: Column, b: Column) -> Column:
+        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+        return F.struct(
+            a["x"].alias("x"),
+            a["y"].alias("y"),
+            b["y"].alias("y2"),
+            dx.alias("dx"),
+            dy.alias("dy"),
+            F.coalesce(F.try_divide(F.lit(1.0), dx * dx + dy * dy), F.lit(0.0)).alias("inv"),
+            F.try_divide(dx, dy).alias("slope"),
         )
 
+    def edges(ring: Column) -> Column:
+        n = F.greatest(F.size(ring) - 1, F.lit(0))
+        return F.zip_with(F.slice(ring, 1, n), F.slice(ring, 2, n), edge)
+
     return F.flatten(F.transform(as_column(rings), edges))
 
 
-def _squared_distance(x: Column, y: Column, s: Column) -> Column:
-    dx, dy = s["x2"] - s["x1"], s["y2"] - s["y1"]
-    along = F.try_divide((x - s["x1"]) * dx + (y - s["y1"]) * dy, dx * dx + dy * dy)
-    clamped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0))))
-    ex, ey = x - (s["x1"] + clamped * dx), y - (s["y1"] + clamped * dy)
-    return ex * ex + ey * ey
+def distance_to_polygon(x: ColumnLike, y: ColumnLike, edges: ColumnLike) -> Column:
+    """Distance from a point to a polygon given by its edges: 0 inside, NULL without one.
 
+    ``x`` and ``y`` should be stored columns: they are read once per edge.
+    """
+    px, py, arr = as_column(x), as_column(y), as_column(edges)
 
-def _crosses(x: Column, y: Column, s: Column) -> Column:
-    """Whether a ray from the point to the right crosses the edge."""
-    straddles = (s["y1"] > y) != (s["y2"] > y)
-    # a horizontal edge never straddles, so the guarded division cannot matter
-    at_x = s["x1"] + F.try_divide((y - s["y1"]) * (s["x2"] - s["x1"]), s["y2"] - s["y1"])
-    return straddles & (x < at_x)
+    def crossed(e: Column) -> Column:
+        """A ray from the point to the right crosses the edge."""
+        return ((e["y"] > py) != (e["y2"] > py)) & (px < e["x"] + (py - e["y"]) * e["slope"])
 
+    def nearest_point(e: Column) -> Column:
+        along = ((px - e["x"]) * e["dx"] + (py - e["y"]) * e["dy"]) * e["inv"]
+        return F.struct(
+            (px - e["x"]).alias("ax"),
+            (py - e["y"]).alias("ay"),
+            e["dx"].alias("dx"),
+            e["dy"].alias("dy"),
+            F.greatest(F.lit(0.0), F.least(F.lit(1.0), along)).alias("t"),
+        )
 
-def distance_to_polygon(x: ColumnLike, y: ColumnLike, edges: ColumnLike) -> Column:
-    """Distance from a point to a polygon given by its edges: 0 inside, NULL without one."""
-    px, py, arr = as_column(x), as_column(y), as_column(edges)
-    inside = F.size(F.filter(arr, lambda s: _crosses(px, py, s))) % 2 == 1
-    nearest = F.sqrt(F.array_min(F.transform(arr, lambda s: _squared_distance(px, py, s))))
-    known = px.isNotNull() & py.isNotNull() & arr.isNotNull() & (F.size(arr) > 0)
-    return F.when(known, F.when(inside, F.lit(0.0)).otherwise(nearest))
+    def squared(n: Column) -> Column:
+        return F.pow(n["ax"] - n["t"] * n["dx"], F.lit(2.0)) + F.pow(
+            n["ay"] - n["t"] * n["dy"], F.lit(2.0)
+        )
+
+    inside = F.size(F.filter(arr, crossed)) % 2 == 1
+    nearest = F.sqrt(F.array_min(F.transform(F.transform(arr, nearest_point), squared)))
+    known = px.isNotNull() & py.isNotNull() & (F.size(arr) > 0)
+    return F.when(~F.coalesce(known, F.lit(False)), None).when(inside, F.lit(0.0)).otherwise(nearest)

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from canvass.functions.columns import ColumnLike, as_column
+from canvass.functions.text import trim_all
 
 # Fixed values: "does not apply", "does not know", "does not answer".
 SENTINELS = (-1, 98, 99)
@@ -29,9 +30,13 @@ def is_sentinel_text(
 ) -> Column:
     """Whether the answer, read as text, is a sentinel code; false for NULL."""
     text = as_column(value).cast("string")
+    codes = [str(s) for s in sentinels]
+    hit = text.isin(*codes)
     if trim:
-        text = F.regexp_replace(text, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
-    return F.coalesce(text.isin(*[str(s) for s in sentinels]), F.lit(False))
+        # only a text longer than a code can be a padded one
+        padded = F.length(text) > min(len(c) for c in codes)
+        hit = hit | (padded & trim_all(text).isin(*codes))
+    return F.coalesce(hit, F.lit(False))
 
 
 def percent(part: ColumnLike, whole: ColumnLike, digits: int = 1) -> Column:

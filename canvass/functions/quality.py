@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from canvass.functions.columns import ColumnLike, as_column
+from canvass.functions.rules import mentions
 from canvass.functions.text import fold_latin, trim_all
 
 # Neighbouring keys that betray a hand run over the keyboard.
@@ -24,17 +25,18 @@ def is_garbage(
 ) -> Column:
     """1 for a short text that looks like random typing, else 0.
 
-    Texts of ``exempt_words`` or more words are accepted, as are empty and NULL ones.
-    The character statistics sit behind that first branch, so long texts never pay for
-    them.
+    Texts of ``exempt_words`` or more words are accepted, as are empty and NULL ones. That
+    test stops at the deciding word, so long texts are neither folded nor counted.
     """
-    text = fold_latin(F.lower(trim_all(value)))
-    words = F.regexp_count(text, F.lit(r"[^\s\p{Z}]+"))
+    raw = as_column(value)
+    exempt = rf"(?:[^\s\p{{Z}}]+[\s\p{{Z}}]+){{{exempt_words - 1}}}[^\s\p{{Z}}]"
+    text = fold_latin(F.lower(trim_all(raw)))
     length = F.length(text)
     unique = F.size(F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?s)."), F.lit(0))))
     return (
-        F.when(text.isNull() | (text == "") | (words >= exempt_words), 0)
-        .when(F.rlike(text, F.lit(KEYBOARD_RUNS)), 1)
+        F.when(raw.isNull() | F.rlike(raw, F.lit(exempt)), 0)
+        .when(text == "", 0)
+        .when(mentions(text, KEYBOARD_RUNS), 1)
         .when((length > longer_than) & (unique / length < min_unique_ratio), 1)
         .when((length >= no_vowel_length) & ~F.rlike(text, F.lit(VOWELS)), 1)
         .when((length > longer_than) & F.rlike(text, F.lit(CONSONANT_RUN)), 1)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from canvass.functions.columns import ColumnLike, as_column
+from canvass.functions.columns import ColumnLike, any_of, as_column
 
 
 def _value(value: object) -> Column:
@@ -27,11 +28,19 @@ def first_match(rules: Sequence[tuple[Column, object]], default: object = None)
     return _value(default) if out is None else out.otherwise(_value(default))
 
 
+def mentions(text: ColumnLike, pattern: str) -> Column:
+    """Whether the pattern is found; plain alternatives are looked up without a regex."""
+    column = as_column(text)
+    if re.search(r"[\\^$.*+?()\[\]{}]", pattern):
+        return F.rlike(column, F.lit(pattern))
+    return any_of([F.contains(column, F.lit(word)) for word in pattern.split("|")])
+
+
 def text_rules(
     text: ColumnLike, rules: Sequence[tuple[str, object]], default: object = None
 ) -> Column:
     """Value of the first ``(pattern, value)`` whose pattern is found in the text."""
-    return first_match([(F.rlike(as_column(text), F.lit(p)), v) for p, v in rules], default)
+    return first_match([(mentions(text, p), v) for p, v in rules], default)
 
 
 def recode(value: ColumnLike, labels: Mapping[object, str], keep_unknown: bool = True) -> Column:

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from canvass.functions.columns import ColumnLike, as_column
 
-WHITE = r"[\s\p{Z}]"
+# The characters with the Unicode property White_Space, as regex ranges.
+WHITE_BUT_BLANK = r"\t-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WHITE_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace() and not 0x1C <= c <= 0x1F)
 
 # Capital letters folded when two identities are compared.
 CAPITAL_FOLDS = {"Á": "A", "É": "E", "Í": "I", "Ó": "O", "Ú": "U", "Ñ": "N"}
@@ -43,29 +45,38 @@ def _single_letter_folds() -> tuple[str, str]:
 
 def trim_all(value: ColumnLike) -> Column:
     """Strip every kind of white space at both ends."""
-    return F.regexp_replace(as_column(value), f"^{WHITE}+|{WHITE}+$", "")
+    return F.trim(as_column(value), F.lit(WHITE_CHARS))
 
 
 def squish(value: ColumnLike) -> Column:
-    """Strip the ends and reduce inner white space to one blank."""
-    return F.trim(F.regexp_replace(as_column(value), f"{WHITE}+", " "))
+    """Strip the ends and reduce inner white space to one blank.
+
+    Single blanks, by far the most frequent case, are not matched at all.
+    """
+    runs = f"[{WHITE_BUT_BLANK}][ {WHITE_BUT_BLANK}]*| [ {WHITE_BUT_BLANK}]+"
+    return F.trim(F.regexp_replace(as_column(value), runs, " "))
 
 
 def fold_latin(value: ColumnLike) -> Column:
     """Latin letters without accents; two-letter ligatures are written out."""
+    text = as_column(value)
     source, target = _single_letter_folds()
-    out = F.translate(as_column(value), source, target)
+    out = F.translate(text, source, target)
     for letter, plain in LETTER_FOLDS.items():
         if len(plain) > 1:
             out = F.replace(out, F.lit(letter), F.lit(plain))
-    return F.regexp_replace(out, r"(?<=[\p{IsLatin}0-9])\p{Mn}+", "")
+    # few texts hold loose marks, and only these pay for looking behind each character
+    loose = F.regexp_replace(out, r"(?<=[\p{IsLatin}0-9])\p{Mn}+", "")
+    out = F.when(F.rlike(out, F.lit(r"\p{Mn}")), loose).otherwise(out)
+    return F.when(F.rlike(text, F.lit(r"[^\x00-\x7f]")), out).otherwise(text)
 
 
 def fold_capitals(value: ColumnLike) -> Column:
     """Upper case, then the fixed capital folds only."""
-    return F.translate(
-        F.upper(as_column(value)), "".join(CAPITAL_FOLDS), "".join(CAPITAL_FOLDS.values())
-    )
+    out = F.upper(as_column(value))
+    for letter, plain in CAPITAL_FOLDS.items():
+        out = F.replace(out, F.lit(letter), F.lit(plain))
+    return out
 
 
 def strip_html(value: ColumnLike) -> Column:

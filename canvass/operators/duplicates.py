@@ -32,9 +32,9 @@ def flag_duplicates(
     Rows without an identity count as one group: NULL if there are several, 0 if one.
     Only identities seen more than once take part in the join.
     """
-    n = F.count(F.lit(1))
     joined = attach_groups(
-        df, [identity_column], {"__n": n}, spread_by=[key], keep=F.col("__n") > 1, hot_rows=hot_rows
+        df, [identity_column], {}, spread_by=[key], keep=F.col("__rows") > 1, rows_as="__n",
+        hot_rows=hot_rows,
     )
     repeated = F.col("__n").isNotNull()
     unknown = repeated & as_column(identity_column).isNull()

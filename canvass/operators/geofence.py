@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canvass.functions.columns import as_column
-from canvass.functions.geo import distance_to_polygon, rings_from_wkt, segments, utm
+from canvass.functions.geo import distance_to_polygon, rings_from_wkt, segments, with_utm
 from canvass.functions.numbers import number
 
 # Texts of the position alert.
@@ -35,8 +35,7 @@ def project_points(
     """Add UTM coordinates; rows without a position go unless asked to stay."""
     lon, lat = number(longitude), number(latitude)
     rows = df if keep_ungeolocated else df.filter(lon.isNotNull() & lat.isNotNull())
-    east, north = utm(lon, lat, zone, south)
-    return rows.withColumns({x: east, y: north})
+    return with_utm(rows, lon, lat, zone, south=south, x=x, y=y)
 
 
 def geofence(

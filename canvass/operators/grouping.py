@@ -98,16 +98,21 @@ def attach_groups(
     spread_by: Sequence[str],
     keep: Column | None = None,
     how: str = "left",
+    rows_as: str | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Attach group figures where groups may be many and of any size.
 
     ``keep`` filters the groups before the join: with ``how="inner"`` it selects whole
     groups, with ``"left"`` rows of other groups get NULL. ``spread_by`` names the columns
-    (a row key) whose hash spreads the rows of a hot group.
+    (a row key) whose hash spreads the rows of a hot group. ``rows_as`` names the group's
+    row count if that is wanted too; when it is all that is wanted, the same aggregation
+    serves to find the hot keys.
     """
     groups = group_figures(df, keys, figures)
     kept = groups if keep is None else groups.filter(keep)
+    if rows_as:
+        kept = kept.withColumn(rows_as, F.col(_N))
     return _attach(df, groups, kept, keys, how, spread_by, hot_rows)
 
 

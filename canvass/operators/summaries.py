@@ -71,74 +71,66 @@ def one_way(df: DataFrame, column: str, *, keep_null: bool = False) -> DataFrame
 def describe_number(df: DataFrame, column: str, *, accuracy: int = 100_000) -> DataFrame:
     """Minimum, exact quartiles, mean, maximum and NULL count of one column, in one row.
 
-    Quartiles are exact without sorting the table: an approximate percentile gives, for
-    each quartile, an interval sure to hold it; rows below the interval are only counted,
-    and only the distinct values inside are ordered.
+    Quartiles are exact without sorting the table. A first pass finds, besides the simple
+    figures, an interval sure to hold each quartile (one row, read by the driver). A second
+    pass counts the rows below each interval and orders only the distinct values inside.
     """
-    value = as_column(column).cast("double")
-    data = df.select(value.alias("x"))
+    # generated, not projected: filters on x are then not pushed below the expression, which
+    # would evaluate a costly one (a distance) several times per row
+    data = df.select(F.explode(F.array(as_column(column).cast("double"))).alias("x"))
+    quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     band = 4.0 / accuracy  # the approximation is off by at most 1 / accuracy in rank
-    quartiles = (0.25, 0.5, 0.75)
-    # below ``accuracy`` rows every distinct value is inside
-    few = F.count("x") < accuracy
-    bounds = [
-        F.array(
-            F.when(few, F.min("x")).otherwise(F.percentile_approx("x", max(q - band, 0.0), accuracy)),
-            F.when(few, F.max("x")).otherwise(F.percentile_approx("x", min(q + band, 1.0), accuracy)),
-        )
-        for q in quartiles
-    ]
+    ends = [min(max(q + d, 0.0), 1.0) for q in quartiles.values() for d in (-band, band)]
     basics = data.agg(
         F.count("x").alias("n"),
         F.min("x").alias("minimum"),
         F.avg("x").alias("mean"),
         F.max("x").alias("maximum"),
         F.count_if(F.col("x").isNull()).alias("nulls"),
-        F.array(*bounds).alias("bounds"),
-    )
-    limits = basics.select(F.struct("n", "bounds")).scalar()
-    inside = F.filter(
-        F.sequence(F.lit(0), F.lit(len(quartiles) - 1)),
-        lambda i: (F.col("x") >= limits["bounds"][i][0]) & (F.col("x") <= limits["bounds"][i][1]),
-    )
-    known = data.filter(F.col("x").isNotNull())
-    below = known.agg(
-        *[
-            F.count_if(F.col("x") < limits["bounds"][i][0]).alias(f"b{i}")
-            for i in range(len(quartiles))
-        ]
-    ).select(F.array(*[f"b{i}" for i in range(len(quartiles))]))
-    counts = known.select("x", F.explode(inside).alias("i")).groupBy("i", "x").agg(
-        F.count(F.lit(1)).alias("c")
-    )
-    running = Window.partitionBy("i").orderBy("x")
-    last = F.sum("c").over(running) + below.scalar()[F.col("i")]
-    ranked = counts.select("i", "x", "c", last.alias("last"))
-    q = F.element_at(F.array(*[F.lit(v) for v in quartiles]), F.col("i") + 1)
-    position = q * (limits["n"] - 1)
-    low_rank, high_rank = F.floor(position) + 1, F.ceil(position) + 1
-    holds = lambda rank: (F.col("last") >= rank) & (F.col("last") - F.col("c") < rank)
-    picked = ranked.groupBy("i").agg(
-        F.max(F.when(holds(low_rank), F.col("x"))).alias("lo"),
-        F.max(F.when(holds(high_rank), F.col("x"))).alias("hi"),
-        F.max(position - F.floor(position)).alias("w"),
-    )
-    wide = picked.agg(
-        *[
-            F.max(F.when(F.col("i") == i, F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("w"))).alias(name)
-            for i, name in enumerate(("q1", "median", "q3"))
-        ]
-    )
-    values = wide.select(F.struct("q1", "median", "q3")).scalar()
-    return basics.select(
-        "minimum",
-        values["q1"].alias("q1"),
-        values["median"].alias("median"),
-        "mean",
-        values["q3"].alias("q3"),
-        "maximum",
-        "nulls",
+        F.percentile_approx("x", ends, accuracy).alias("ends"),
+    ).collect()[0]
+    n = basics["n"]
+    figures = [
+        F.lit(basics[c]).cast(kind).alias(c)
+        for c, kind in (("minimum", "double"), ("mean", "double"), ("maximum", "double"), ("nulls", "bigint"))
+    ]
+    if n == 0:
+        empty = [F.lit(None).cast("double").alias(q) for q in quartiles]
+        return df.sparkSession.range(1).select(*figures, *empty)
+
+    # with fewer rows than the accuracy every distinct value is taken in
+    intervals = [
+        (basics["minimum"], basics["maximum"])
+        if n < accuracy
+        else (basics["ends"][2 * i], basics["ends"][2 * i + 1])
+        for i in range(len(quartiles))
+    ]
+    marks = [
+        F.when(F.col("x") < low, F.struct(F.lit(i).alias("i"), F.lit(None).cast("double").alias("v")))
+        .when(F.col("x") <= high, F.struct(F.lit(i).alias("i"), F.col("x").alias("v")))
+        for i, (low, high) in enumerate(intervals)
+    ]
+    counts = (
+        data.select(F.explode(F.array_compact(F.array(*marks))).alias("m"))
+        .groupBy(F.col("m.i").alias("i"), F.col("m.v").alias("v"))
+        .agg(F.count(F.lit(1)).alias("c"))
     )
+    # rows below the interval have no value and come first
+    up_to = Window.partitionBy("i").orderBy(F.col("v").asc_nulls_first())
+    ranked = counts.withColumn("last", F.sum("c").over(up_to))
+
+    def value_at(i: int, rank: int) -> Column:
+        holds = (F.col("i") == i) & (F.col("last") >= rank) & (F.col("last") - F.col("c") < rank)
+        return F.max(F.when(holds, F.col("v")))
+
+    picked = []
+    for i, (name, q) in enumerate(quartiles.items()):
+        position = q * (n - 1)
+        rank = int(position) + 1
+        weight = position - int(position)
+        low, high = value_at(i, rank), value_at(i, min(rank + 1, n))
+        picked.append((low + (high - low) * weight).alias(name))
+    return ranked.agg(*picked).select(*quartiles, *figures)
 
 
 def describe_number_approx(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:

@@ -179,7 +179,9 @@ def history_of_repeated(
     df: DataFrame, unit: str, key: str, *, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """All visits of the units that have more than one."""
-    return keep_groups(df, [unit], F.count(F.lit(1)) > 1, spread_by=[key], hot_rows=hot_rows)
+    return attach_groups(
+        df, [unit], {}, spread_by=[key], keep=F.col("__rows") > 1, how="inner", hot_rows=hot_rows
+    )
 
 
 def effective_not_final(df: DataFrame, final: str, category: str, effective: str) -> DataFrame:

@@ -23,6 +23,7 @@ def local_session(cpus: int = 8, partitions: int | None = None, memory: str = "8
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("canvass")
     builder = builder.config("spark.sql.shuffle.partitions", str(partitions or cpus))
     builder = builder.config("spark.ui.enabled", "false").config("spark.driver.memory", memory)
+    builder = builder.config("spark.ui.showConsoleProgress", "false")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
