@@ -23,7 +23,9 @@ def to_long(
 ) -> DataFrame:
     """One row per id and column; values are cast to one type first."""
     ready = df.select(*ids, *[as_column(n).cast(as_type).alias(n) for n in names])
-    return ready.unpivot(list(ids), list(names), name, value)
+    return ready.unpivot(
+        [as_column(i) for i in ids], [as_column(n) for n in names], name, value
+    )
 
 
 def to_wide(
@@ -37,7 +39,11 @@ def to_wide(
 ) -> DataFrame:
     """One column per listed value of ``name``; the columns are given, not discovered."""
     wide = df.groupBy(*ids).pivot(name, list(values)).agg(F.first(value, ignorenulls=True))
-    return wide if fill is None else wide.na.fill(fill, [str(v) for v in values])
+    if fill is None:
+        return wide
+    return wide.withColumns(
+        {str(v): F.coalesce(as_column(str(v)), F.lit(fill)) for v in values}
+    )
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
@@ -53,7 +59,8 @@ def counts_to_columns(
     """Rows per group and category as columns, with a row total."""
     wide = df.groupBy(group).pivot(category, list(values)).agg(F.count(F.lit(1)))
     names = [str(v) for v in values]
-    return wide.na.fill(0, names).withColumn(total, row_sum(names))
+    filled = wide.withColumns({n: F.coalesce(as_column(n), F.lit(0)) for n in names})
+    return filled.withColumn(total, row_sum(names))
 
 
 def full_join_by(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

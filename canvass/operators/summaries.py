@@ -60,7 +60,8 @@ def contingency(
     """Two-way counts with fixed columns; absent pairs are 0, NULLs left out."""
     data = df if keep_null_rows else df.filter(as_column(rows).isNotNull())
     pivot = data.groupBy(rows).pivot(columns, list(values)).agg(F.count(F.lit(1)))
-    return pivot.na.fill(0, [str(v) for v in values])
+    names = [str(v) for v in values]
+    return pivot.withColumns({n: F.coalesce(as_column(n), F.lit(0)) for n in names})
 
 
 def one_way(df: DataFrame, column: str, *, keep_null: bool = False) -> DataFrame:
