@@ -22,6 +22,21 @@ def as_column(value: ColumnLike) -> Column:
     return F.col(f"`{value}`") if isinstance(value, str) else value
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def compute_once(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
+    """Add costly columns so that later filters and projections read their results.
+
+    A plain projection is merged with what follows, and a filter on its column is pushed
+    below it: both repeat the expression. A generated row is left alone.
+    """
+    row = F.struct(*[c.alias(n) for n, c in new.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 # ---- names -------------------------------------------------------------------------
 
 

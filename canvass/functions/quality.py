@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from canvass.functions.columns import ColumnLike, as_column
+from canvass.functions.columns import ColumnLike, as_column, let
 from canvass.functions.rules import mentions
 from canvass.functions.text import fold_latin, trim_all
 
@@ -30,15 +30,18 @@ def is_garbage(
     """
     raw = as_column(value)
     exempt = rf"(?:[^\s\p{{Z}}]+[\s\p{{Z}}]+){{{exempt_words - 1}}}[^\s\p{{Z}}]"
-    text = fold_latin(F.lower(trim_all(raw)))
-    length = F.length(text)
-    unique = F.size(F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?s)."), F.lit(0))))
-    return (
-        F.when(raw.isNull() | F.rlike(raw, F.lit(exempt)), 0)
-        .when(text == "", 0)
-        .when(mentions(text, KEYBOARD_RUNS), 1)
-        .when((length > longer_than) & (unique / length < min_unique_ratio), 1)
-        .when((length >= no_vowel_length) & ~F.rlike(text, F.lit(VOWELS)), 1)
-        .when((length > longer_than) & F.rlike(text, F.lit(CONSONANT_RUN)), 1)
-        .otherwise(0)
-    )
+
+    def short_text(text: Column) -> Column:
+        length = F.length(text)
+        unique = F.size(F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?s)."), F.lit(0))))
+        return (
+            F.when(text == "", 0)
+            .when(mentions(text, KEYBOARD_RUNS), 1)
+            .when((length > longer_than) & (unique / length < min_unique_ratio), 1)
+            .when((length >= no_vowel_length) & ~F.rlike(text, F.lit(VOWELS)), 1)
+            .when((length > longer_than) & F.rlike(text, F.lit(CONSONANT_RUN)), 1)
+            .otherwise(0)
+        )
+
+    judged = let(let(F.lower(trim_all(raw)), fold_latin), short_text)
+    return F.when(raw.isNull() | F.rlike(raw, F.lit(exempt)), 0).otherwise(judged)

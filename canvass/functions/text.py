@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from canvass.functions.columns import ColumnLike, as_column
+from canvass.functions.columns import ColumnLike, as_column, let
 
 # The characters with the Unicode property White_Space, as regex ranges.
 WHITE_BUT_BLANK = r"\t-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -65,10 +65,15 @@ def fold_latin(value: ColumnLike) -> Column:
     for letter, plain in LETTER_FOLDS.items():
         if len(plain) > 1:
             out = F.replace(out, F.lit(letter), F.lit(plain))
-    # few texts hold loose marks, and only these pay for looking behind each character
-    loose = F.regexp_replace(out, r"(?<=[\p{IsLatin}0-9])\p{Mn}+", "")
-    out = F.when(F.rlike(out, F.lit(r"\p{Mn}")), loose).otherwise(out)
-    return F.when(F.rlike(text, F.lit(r"[^\x00-\x7f]")), out).otherwise(text)
+
+    def without_loose_marks(t: Column) -> Column:
+        # few texts hold loose marks, and only these pay for looking behind each character
+        return F.when(
+            F.rlike(t, F.lit(r"\p{Mn}")), F.regexp_replace(t, r"(?<=[\p{IsLatin}0-9])\p{Mn}+", "")
+        ).otherwise(t)
+
+    folded = let(out, without_loose_marks)
+    return F.when(F.rlike(text, F.lit(r"[^\x00-\x7f]")), folded).otherwise(text)
 
 
 def fold_capitals(value: ColumnLike) -> Column:

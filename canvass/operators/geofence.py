@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canvass.functions.columns import as_column
+from canvass.functions.columns import as_column, compute_once
 from canvass.functions.geo import distance_to_polygon, rings_from_wkt, segments, with_utm
 from canvass.functions.numbers import number
 
@@ -54,9 +54,8 @@ def geofence(
     a unit with too many interviews.
     """
     joined = df.join(edges, as_column(unit).cast("string").eqNullSafe(F.col("__unit")), "left")
-    with_distance = joined.withColumn(
-        "distance_m", distance_to_polygon(x, y, F.col("__edges"))
-    ).drop("__unit", "__edges")
+    distance = distance_to_polygon(x, y, F.col("__edges"))
+    with_distance = compute_once(joined, {"distance_m": distance}).drop("__unit", "__edges")
     far = F.col("distance_m") > max_metres
     label = F.when(far.isNull(), None).when(far, OUTSIDE).otherwise(OK)
     return with_distance.withColumn("alert_geo", label)

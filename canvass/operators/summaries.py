@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from canvass.functions.columns import ColumnLike, as_column
+from canvass.functions.columns import ColumnLike, as_column, compute_once
 
 
 def count_by(df: DataFrame, *keys: str, out: str = "n") -> DataFrame:
@@ -76,9 +76,7 @@ def describe_number(df: DataFrame, column: str, *, accuracy: int = 100_000) -> D
     figures, an interval sure to hold each quartile (one row, read by the driver). A second
     pass counts the rows below each interval and orders only the distinct values inside.
     """
-    # generated, not projected: filters on x are then not pushed below the expression, which
-    # would evaluate a costly one (a distance) several times per row
-    data = df.select(F.explode(F.array(as_column(column).cast("double"))).alias("x"))
+    data = compute_once(df, {"x": as_column(column).cast("double")}).select("x")
     quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     band = 4.0 / accuracy  # the approximation is off by at most 1 / accuracy in rank
     ends = [min(max(q + d, 0.0), 1.0) for q in quartiles.values() for d in (-band, band)]

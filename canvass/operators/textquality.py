@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canvass.functions.columns import across, as_column, present, row_sum
+from canvass.functions.columns import across, as_column, compute_once, present, row_sum
 from canvass.functions.numbers import flag
 from canvass.functions.quality import is_garbage
 from canvass.functions.rules import recode, text_rules
@@ -22,12 +22,12 @@ def classify_comments(
     default_label: str,
 ) -> DataFrame:
     """Status code and label read from a comment by ordered patterns."""
-    text = F.lower(trim_all(comment))
-    code = text_rules(text, rules)
-    label = F.coalesce(recode(code, labels, keep_unknown=False), F.lit(default_label))
-    return df.withColumns(
-        {"comment_clean": text, "comment_code": code.cast("int"), "comment_label": label}
+    code = text_rules(F.col("comment_clean"), rules).cast("int")
+    label = recode("comment_code", labels, keep_unknown=False)
+    read = compute_once(
+        df.withColumn("comment_clean", F.lower(trim_all(comment))), {"comment_code": code}
     )
+    return read.withColumn("comment_label", F.coalesce(label, F.lit(default_label)))
 
 
 def comment_discrepancy(df: DataFrame, declared: str) -> DataFrame:
