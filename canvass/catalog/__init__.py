@@ -2,6 +2,7 @@
 
 from canvass.catalog import (  # noqa: F401
     alerts,
+    audit,
     cases,
     corrections,
     geo,
