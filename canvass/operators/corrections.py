@@ -18,6 +18,10 @@ from canvass.operators.grouping import literal_table
 Keys = Sequence[str | int] | DataFrame
 
 
+def _nothing(rows: Sequence | DataFrame) -> bool:
+    return not isinstance(rows, DataFrame) and len(rows) == 0
+
+
 def _key_table(df: DataFrame, key: str, keys: Keys) -> DataFrame:
     if isinstance(keys, DataFrame):
         return keys.select(F.col(keys.columns[0]).alias("__key")).distinct()
@@ -34,6 +38,8 @@ def _dictionary(df: DataFrame, rows: Sequence[tuple] | DataFrame, names: Sequenc
 
 def drop_keys(df: DataFrame, key: str, keys: Keys) -> DataFrame:
     """Blacklist: rows whose key is listed go; rows without a key stay."""
+    if _nothing(keys):
+        return df
     table = _key_table(df, key, keys)
     return df.join(table, as_column(key) == F.col("__key"), "left_anti")
 
@@ -46,6 +52,8 @@ def only_keys(df: DataFrame, key: str, keys: Keys) -> DataFrame:
 
 def override_for_keys(df: DataFrame, key: str, keys: Keys, values: Mapping[str, ColumnLike | object]) -> DataFrame:
     """Give listed rows fixed values in some columns; other rows keep theirs."""
+    if _nothing(keys):
+        return df
     table = _key_table(df, key, keys).withColumn("__hit", F.lit(True))
     joined = df.join(table, as_column(key) == F.col("__key"), "left")
     new = {
@@ -70,6 +78,8 @@ def correct_by_key(
     ``corrections`` holds ``(key, new value)``. A repeated key repeats the row, as in any
     join; ``dedupe`` keeps the smallest value per key instead.
     """
+    if _nothing(corrections):
+        return df.withColumns({t: as_column(t).cast("string") for t in targets})
     kinds = [df.schema[key].dataType.simpleString(), "string"]
     table = _dictionary(df, corrections, ["__key", "__new"], kinds)
     if dedupe:
@@ -93,6 +103,8 @@ def correct_status(
     The code column gets the new code, the label columns its label; rows whose key is not
     listed, and labels of codes without one, stay as they are.
     """
+    if _nothing(corrections):
+        return df.withColumns({c: as_column(c).cast("string") for c in (code, *label_columns)})
     kinds = [df.schema[key].dataType.simpleString(), "int"]
     table = _dictionary(df, corrections, ["__key", "__code"], kinds)
     names = literal_table(df.sparkSession, list(labels.items()), "__id int, __label string")

@@ -15,7 +15,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canvass.functions.columns import as_column
@@ -43,15 +44,22 @@ def small_copy(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
     At most ``max_rows + 1`` rows ever reach the driver. The copy is exact, so the table
     is computed once and its broadcast size is known.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return None
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def literal_table(spark, rows: Sequence[tuple], schema: str, max_rows: int = SMALL_ROWS) -> DataFrame:
+def literal_table(
+    spark: SparkSession, rows: Sequence[tuple], schema: str, max_rows: int = SMALL_ROWS
+) -> DataFrame:
     """A dictionary given in code; hinted for broadcast while it is short."""
-    table = spark.createDataFrame(list(rows), schema)
+    names = [field.split()[0] for field in schema.split(",")]
+    columns = zip(*rows, strict=True) if rows else [[] for _ in names]
+    arrow = pa.table({n: pa.array(list(c)) for n, c in zip(names, columns, strict=True)})
+    table = spark.createDataFrame(arrow).select(
+        *[as_column(f.split()[0]).cast(f.split()[1]) for f in schema.split(",")]
+    )
     return F.broadcast(table) if len(rows) <= max_rows else table
 
 

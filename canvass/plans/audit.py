@@ -42,6 +42,16 @@ class Audit:
     submissions: DataFrame
     audited: DataFrame
     clear: DataFrame
+    survey: Survey
+
+    def marked(self) -> DataFrame:
+        """All submissions with the flag of each unit's final visit."""
+        s = self.survey
+        return visits.mark_latest(self.submissions, s.unit, s.submitted, s.key)
+
+    def superseded(self) -> DataFrame:
+        """Effective visits that are not the final one of their unit."""
+        return visits.effective_not_final(self.marked(), "is_final", "category", sv.EFFECTIVE)
 
 
 def correct(raw: DataFrame, s: Survey, manual: ManualInputs) -> DataFrame:
@@ -83,15 +93,14 @@ def one_hots(code: Column) -> dict[str, Column]:
 
 
 def classify(df: DataFrame, s: Survey) -> DataFrame:
-    """Status number, category, and the final visit of each unit."""
+    """Status number, category and its indicators."""
     code = number(s.status)
-    df = df.withColumn("status_num", code).withColumns(
+    return df.withColumn("status_num", code).withColumns(
         {
             **one_hots(F.col("status_num")),
             "category": category("status_num", sv.CATEGORIES, sv.OTHER),
         }
     )
-    return visits.mark_latest(df, s.unit, s.submitted, s.key, out="is_final")
 
 
 def prepare(raw: DataFrame, s: Survey, manual: ManualInputs) -> DataFrame:
@@ -222,17 +231,18 @@ def run_audit(
 ) -> Audit:
     """The whole audit.
 
-    Two tables are written on the way, because many later steps read them: the classified
-    submissions, and the audited final visits.
+    Three tables are written on the way, because several later steps read a few columns of
+    each: the classified submissions, the final visits, and the audited final visits.
     """
     s, manual = survey or Survey(), manual or ManualInputs()
     forced = {k: v for k, v in manual.forced_values.items() if k in raw.columns}
     raw = corrections.override_for_keys(raw, s.key, manual.forced_keys, forced)
     submissions = cut_lineage(prepare(raw, s, manual), "submissions", folder)
-    final = submissions.filter(F.col("is_final") == 1)
+    final = visits.latest_only(submissions, s.unit, s.submitted, s.key)
+    final = cut_lineage(final.withColumn("is_final", F.lit(1)), "final", folder)
     usable = formlogic.usable_rules(final, rules)
     edges = geofence.polygon_edges(polygons, polygon_unit, polygon_wkt)
     flagged = raise_flags(final, s, usable, edges, manual.accepted_duplicates)
     detailed = add_details(consolidate(flagged, s), s, labels or {})
     audited = cut_lineage(detailed, "audited", folder)
-    return Audit(raw, submissions, audited, clear_table(audited))
+    return Audit(raw, submissions, audited, clear_table(audited), s)
