@@ -14,6 +14,7 @@ from canvass.functions.columns import (
     drop_by_prefix,
     move_before,
     present,
+    select_mapping,
 )
 from canvass.functions.dates import on_or_after, submission_time
 from canvass.functions.numbers import flag, minutes, number
@@ -217,6 +218,11 @@ def clear_table(audited: DataFrame) -> DataFrame:
     return df.withColumns(new) if new else df
 
 
+def household_table(clear: DataFrame, mapping: Sequence[tuple[str, str]]) -> DataFrame:
+    """The clean table: passing rows only, answers under their final names."""
+    return select_mapping(clear.filter(F.col("audit_pass") == 1), mapping)
+
+
 def run_audit(
     raw: DataFrame,
     polygons: DataFrame,
