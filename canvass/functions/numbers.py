@@ -39,10 +39,15 @@ def is_sentinel_text(
     return F.coalesce(hit, F.lit(False))
 
 
-def percent(part: ColumnLike, whole: ColumnLike, digits: int = 1) -> Column:
-    """Rounded percentage; NULL for an empty whole."""
+def percent(
+    part: ColumnLike, whole: ColumnLike, digits: int = 1, *, half_even: bool = False
+) -> Column:
+    """Rounded percentage; NULL for an empty whole.
+
+    Halves are rounded up, or to the even digit with ``half_even``.
+    """
     ratio = F.try_divide(as_column(part).cast("double"), as_column(whole).cast("double"))
-    return F.round(ratio * 100, digits)
+    return (F.bround if half_even else F.round)(ratio * 100, digits)
 
 
 def at_least(value: ColumnLike, floor: float) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from canvass.functions.columns import ColumnLike, as_column
 from canvass.operators.grouping import literal_table
+from canvass.operators.visits import keep_first
 
 Keys = Sequence[str | int] | DataFrame
 
@@ -127,15 +128,18 @@ def left_lookup(
 ) -> DataFrame:
     """Left join with a dimension; ``on`` maps our key columns to the dimension's.
 
-    The dimension's keys are dropped. ``null_safe`` lets NULL keys meet. ``dedupe`` keeps
-    one row per key when the dimension may repeat keys.
+    The dimension's keys are dropped. ``null_safe`` lets NULL keys meet. A repeated key
+    repeats our row; ``dedupe`` keeps the dimension's first row per key, in the order of its
+    other columns.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
-    right = table.dropDuplicates(list(pairs.values())) if dedupe else table
+    theirs = list(pairs.values())
+    rest = [as_column(c).asc_nulls_last() for c in table.columns if c not in theirs]
+    right = keep_first(table, theirs, rest or [F.lit(1)]) if dedupe else table
     right = right.withColumnsRenamed({r: f"__k_{r}" for r in pairs.values()})
     condition = F.lit(True)
-    for mine, theirs in pairs.items():
-        a, b = df[f"`{mine}`"], right[f"`__k_{theirs}`"]
+    for mine, other in pairs.items():
+        a, b = df[f"`{mine}`"], right[f"`__k_{other}`"]
         condition = condition & (a.eqNullSafe(b) if null_safe else a == b)
     return df.join(right, condition, "left").drop(*[f"__k_{r}" for r in pairs.values()])
 

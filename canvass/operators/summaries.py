@@ -27,10 +27,12 @@ def mean_where(value: ColumnLike, condition: Column) -> Column:
     return F.avg(F.when(condition, as_column(value)))
 
 
-def distinct_count(value: ColumnLike, count_null: bool = True) -> Column:
+def distinct_count(
+    value: ColumnLike, count_null: bool = True, *, approximate: bool = False
+) -> Column:
     """Distinct values of a group; NULL counts as one value unless told otherwise."""
     column = as_column(value)
-    known = F.count_distinct(column)
+    known = F.approx_count_distinct(column) if approximate else F.count_distinct(column)
     return known + F.max(column.isNull().cast("int")) if count_null else known
 
 

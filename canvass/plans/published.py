@@ -125,6 +125,32 @@ CASES = [
     ("intento", "attempt"),
     ("encuesta_final", "is_final"),
 ]
+CLOSURE_REVIEW = [
+    ("padron", "padron_pull"),
+    ("status", "category"),
+    ("comentario", "pub_comentario"),
+    ("fecha_envio", "submission_date"),
+    ("fecha_inicio", "starttime"),
+    ("day", "day"),
+    ("alerta", "history_alert"),
+    ("tecnico_pull", "tecnico_pull"),
+    ("grupo_experimento", "grupo_experimento"),
+    ("p11_02_nombre", "p11_02_nombre"),
+    ("p2_02", "p2_02"),
+    ("pub_direccion", "pub_direccion"),
+    ("key", "key"),
+]
+PARTIAL_REVIEW = [
+    ("id_padron", "padron_pull"),
+    ("fecha", "starttime"),
+    ("tecnico", "tecnico_pull"),
+    ("encuestador", "ident_enc_resp"),
+    ("status", "status_survey_resp"),
+    ("status_num", "status_num"),
+    ("grupo_experimento", "grupo_experimento"),
+    ("comentario", "pub_comentario"),
+    ("key", "key"),
+]
 SCHEME_REVIEW = {
     "PADRÓN": "padron_pull",
     "FECHA": "day",

@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from canvass.functions import columns as cols
 from canvass.operators.formlogic import FormRule
 from canvass.plans import outputs, published
 from canvass.plans import reports as rp
@@ -163,6 +164,10 @@ def test_histories(audit):
         "closed1": "Seguimiento normal", "closed2": "⚠️ REVISITAR TRAS CIERRE",
     }
     assert {r["key"] for r in rp.partial_review(audit.submissions, audit.survey).collect()} == {"partial"}
+    known = [(o, c) for o, c in published.CLOSURE_REVIEW if c in review.columns]
+    assert cols.select_mapping(review, known).columns[:3] == ["padron", "status", "comentario"]
+    partial = rp.partial_review(audit.submissions, audit.survey)
+    assert cols.select_mapping(partial, published.PARTIAL_REVIEW).columns[-1] == "key"
     cases = {r["key"]: (r["attempt"], r["is_final"]) for r in rp.cases_table(audit.submissions, audit.survey).collect()}
     assert cases["closed1"][0] + cases["closed2"][0] == 3 and cases["ok"] == (1, 1)
 

@@ -91,8 +91,9 @@ def test_distinct_count_with_null(spark):
     row = df.agg(
         summaries.distinct_count("v").alias("with_null"),
         summaries.distinct_count("v", count_null=False).alias("known"),
+        summaries.distinct_count("v", approximate=True).alias("near"),
     ).collect()[0]
-    assert (row["with_null"], row["known"]) == (2, 1)
+    assert (row["with_null"], row["known"], row["near"]) == (2, 1, 2)
 
 
 def test_one_row_group_has_no_spread(spark):
@@ -222,6 +223,8 @@ def test_address_keeps_fixed_words(spark):
 def test_rates_over_nothing_are_null(spark):
     assert one(spark, percent(F.lit(1), F.lit(0))) is None
     assert one(spark, percent(F.lit(1), F.lit(3))) == 33.3
+    assert one(spark, percent(F.lit(1), F.lit(800), 2)) == 0.13
+    assert one(spark, percent(F.lit(1), F.lit(800), 2, half_even=True)) == 0.12
 
 
 def test_times(spark):
