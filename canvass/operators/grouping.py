@@ -140,6 +140,20 @@ def keep_groups(
     return out.drop("__hit")
 
 
+def hot_groups(
+    groups: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> tuple[Column, Column]:
+    """From a :func:`group_figures` table: the row count above which a group is hot, and a
+    condition on a row's own keys telling whether its group is.
+    """
+    total = groups.agg(F.sum(_N)).scalar()
+    limit = F.greatest(F.lit(hot_rows).cast("double"), total * F.lit(HOT_SHARE))
+    this_key = F.struct(*[as_column(k) for k in keys])
+    # at most 1 / HOT_SHARE keys can each hold more than HOT_SHARE of the rows
+    hot_keys = groups.filter(F.col(_N) > limit).agg(F.collect_list(this_key)).scalar()
+    return limit, F.array_contains(hot_keys, this_key)
+
+
 def _attach(
     df: DataFrame,
     groups: DataFrame,
@@ -149,15 +163,10 @@ def _attach(
     spread_by: Sequence[str],
     hot_rows: int,
 ) -> DataFrame:
-    total = groups.agg(F.sum(_N)).scalar()
-    limit = F.greatest(F.lit(hot_rows).cast("double"), total * F.lit(HOT_SHARE))
-    hot = groups.filter(F.col(_N) > limit)
-    # at most 1 / HOT_SHARE keys can each hold more than HOT_SHARE of the rows
-    hot_keys = hot.agg(F.collect_list(F.struct(*[as_column(k) for k in keys]))).scalar()
-    this_key = F.struct(*[as_column(k) for k in keys])
+    limit, is_hot = hot_groups(groups, keys, hot_rows)
     spread = F.pmod(F.xxhash64(*[as_column(c) for c in spread_by]), F.lit(SALTS)).cast("int")
     salted = df.withColumn(
-        _SALT, F.when(F.array_contains(hot_keys, this_key), spread).otherwise(F.lit(0))
+        _SALT, F.when(is_hot, spread).otherwise(F.lit(0))
     )
     copies = F.when(F.col(_N) > limit, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
         F.array(F.lit(0))

@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from canvass.functions.columns import as_column
 from canvass.functions.numbers import flag
 from canvass.functions.rules import first_match
-from canvass.operators.grouping import HOT_ROWS, attach_groups, keep_groups
+from canvass.operators.grouping import (
+    HOT_ROWS,
+    attach_groups,
+    group_figures,
+    hot_groups,
+    keep_groups,
+)
 
 # Texts of the history alert.
 REVISIT_AFTER_CLOSE = "⚠️ REVISITAR TRAS CIERRE"
@@ -96,20 +102,26 @@ def number_attempts(
     *,
     out: str = "attempt",
     slice_by: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Number the visits of each unit in time order.
 
-    Each unit is cut into time slices (days unless ``slice_by`` gives another expression
-    that never decreases with time). Rows are numbered inside a slice and shifted by the
-    number of earlier rows of the unit, which comes from a small table of counts. A unit
-    with very many visits is thus sorted by many tasks.
+    A unit holding a large share of all visits is cut into time slices (hours unless
+    ``slice_by`` gives another expression that never decreases with time). Its rows are
+    numbered inside a slice and shifted by the number of earlier rows, which comes from a
+    table of slice counts of such units only; so it is sorted by many tasks. Other units
+    are numbered whole.
     """
     at = as_column(time)
+    groups = group_figures(df, [unit], {})
+    _, is_hot = hot_groups(groups, [unit], hot_rows)
+    piece = F.date_trunc("hour", at) if slice_by is None else slice_by
     # one non-null struct key: NULL units stay together, and the join below finds the rows
     # already distributed by it
-    day = F.date_trunc("day", at) if slice_by is None else slice_by
-    sliced = df.withColumn("__key", F.struct(as_column(unit).alias("u"), day.alias("s")))
-    counts = sliced.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"))
+    sliced = df.withColumn("__hot", is_hot).withColumn(
+        "__key", F.struct(as_column(unit).alias("u"), F.when(F.col("__hot"), piece).alias("s"))
+    )
+    counts = sliced.filter("__hot").groupBy("__key").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("__key.u").orderBy(F.col("__key.s").asc_nulls_last())
     earlier = counts.select(
         F.col("__key").alias("__slice"),
@@ -122,8 +134,8 @@ def number_attempts(
     )
     numbered = sliced.withColumn("__rn", F.row_number().over(inside))
     joined = numbered.join(earlier, F.col("__key") == F.col("__slice"), "left")
-    return joined.withColumn(out, F.col("__rn") + F.col("__earlier")).drop(
-        "__rn", "__key", "__slice", "__earlier"
+    return joined.withColumn(out, F.col("__rn") + F.coalesce("__earlier", F.lit(0))).drop(
+        "__rn", "__key", "__hot", "__slice", "__earlier"
     )
 
 

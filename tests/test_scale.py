@@ -57,10 +57,11 @@ def test_attempts_match_a_plain_sort(skewed, by_unit):
     for rows in by_unit.values():
         for i, r in enumerate(sorted(rows, key=lambda x: (x["ts"], x["key"])), start=1):
             want[r["key"]] = i
-    out = visits.number_attempts(skewed, "unit", "ts", "key")
-    assert {r["key"]: r["attempt"] for r in out.collect()} == want
+    for hot_rows in (0, grouping.HOT_ROWS):
+        out = visits.number_attempts(skewed, "unit", "ts", "key", hot_rows=hot_rows)
+        assert {r["key"]: r["attempt"] for r in out.collect()} == want
     monthly = visits.number_attempts(
-        skewed, "unit", "ts", "key", slice_by=F.date_trunc("month", "ts")
+        skewed, "unit", "ts", "key", slice_by=F.date_trunc("month", "ts"), hot_rows=0
     )
     assert {r["key"]: r["attempt"] for r in monthly.collect()} == want
 
@@ -194,10 +195,10 @@ def test_no_python_in_any_plan(spark, name):
 def test_time_slices_never_reorder(spark):
     """Visits around midnight and at equal times keep their order."""
     start = datetime(2026, 1, 1, 23, 59, 58)
-    rows = [(i, "u", start + timedelta(seconds=i // 2)) for i in range(10)]
+    rows = [(i, "u", start + timedelta(seconds=i // 2)) for i in range(10)] + [(10, "u", None)]
     df = spark.createDataFrame(rows, "key long, unit string, ts timestamp")
-    out = visits.number_attempts(df, "unit", "ts", "key").orderBy("key")
-    assert [r["attempt"] for r in out.collect()] == list(range(1, 11))
+    out = visits.number_attempts(df, "unit", "ts", "key", hot_rows=0).orderBy("key")
+    assert [r["attempt"] for r in out.collect()] == list(range(1, 12))
 
 
 def test_outlier_figures_match_brute_force(spark):
