@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from canvass.llm.simhash import op5_simhash_groups
 from canvass.llm.substring_dedup import op1_substring_dedup
 from canvass.llm.suffix_dedup import op9_suffix_dedup
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op9_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op5_simhash_groups, op9_suffix_dedup)}
 ORACLE: dict[str, str] = {}
