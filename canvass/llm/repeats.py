@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,18 +54,26 @@ def occurrences(docs: DataFrame, tokens: Tokens, length: int, gram: int) -> Data
     return docs.mapInArrow(rows, f"id {kind}, row long, anchor long, ctx long, lo int, hi int")
 
 
+def _gathered(runs: DataFrame) -> DataFrame:
+    return runs.groupBy("id", "row").agg(F.collect_list(F.struct("anchor", "lo", "hi")).alias("runs"))
+
+
+def _runs_of(batch: pa.RecordBatch, first: np.ndarray) -> tuple[pa.StructArray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of all documents of a part: themselves, their document, its first token, and where they begin and end."""
+    each = batch.column("runs").flatten()
+    doc = np.repeat(np.arange(batch.num_rows), batch.column("runs").value_lengths().to_numpy(zero_copy_only=False))
+    base = first[doc]
+    return each, doc, base, base + each.field("lo").to_numpy(), base + each.field("hi").to_numpy()
+
+
 def single_windows(docs: DataFrame, runs: DataFrame, tokens: Tokens, length: int) -> DataFrame:
     """Each window of the given ``runs`` by itself: ``(id, row, anchor, window, start)``."""
-    lists = runs.groupBy("id", "row").agg(F.collect_list(F.struct("anchor", "lo", "hi")).alias("runs"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches):
             values, first = tokens(data, offsets)
-            runs = batch.column("runs")
-            each = runs.flatten()
-            doc = np.repeat(np.arange(batch.num_rows), runs.value_lengths().to_numpy(zero_copy_only=False))
-            base = first[doc]
-            start, owner = ranges(base + each.field("lo").to_numpy(), base + each.field("hi").to_numpy())
+            each, doc, base, lo, hi = _runs_of(batch, first)
+            start, owner = ranges(lo, hi)
             at = pa.array(doc[owner])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -78,7 +87,107 @@ def single_windows(docs: DataFrame, runs: DataFrame, tokens: Tokens, length: int
             )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return with_lists(docs, lists, "inner").mapInArrow(rows, f"id {kind}, row long, anchor long, window long, start int")
+    return with_lists(docs, _gathered(runs), "inner").mapInArrow(rows, f"id {kind}, row long, anchor long, window long, start int")
+
+
+def slices(docs: DataFrame, runs: DataFrame, tokens: Tokens, length: int) -> DataFrame:
+    """The tokens that each of the given ``runs`` covers, as values: ``(id, row, anchor, lo, slice)``."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in pieces(batches):
+            values, first = tokens(data, offsets)
+            each, doc, base, lo, hi = _runs_of(batch, first)
+            at = pa.array(doc)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id").take(at),
+                    batch.column("row").take(at),
+                    each.field("anchor"),
+                    each.field("lo"),
+                    pa.array([values[a : b + length].tobytes() for a, b in zip(lo.tolist(), hi.tolist())], pa.binary()),
+                ],
+                names=["id", "row", "anchor", "lo", "slice"],
+            )
+
+    kind = docs.schema["id"].dataType.simpleString()
+    return with_lists(docs, _gathered(runs), "inner").mapInArrow(rows, f"id {kind}, row long, anchor long, lo int, slice binary")
+
+
+def shared_windows(cut: DataFrame, values_of: Callable[[np.ndarray], np.ndarray], width: int, length: int, earlier: bool) -> DataFrame:
+    """The spans of ``slices`` made of windows that another slice of the same anchor has too.
+
+    A value takes ``width`` bytes of a slice. With ``earlier`` the other slice must have a
+    smaller id. All windows of an anchor are sorted, not paired.
+    """
+
+    def spans(batch: pa.RecordBatch, anchor: np.ndarray) -> pa.RecordBatch:
+        col = batch.column("slice").cast(pa.large_binary())
+        raw = np.frombuffer(col.buffers()[2], np.uint8)
+        ends = np.frombuffer(col.buffers()[1], np.int64)[col.offset : col.offset + len(col) + 1]
+        values = values_of(raw[ends[0] : ends[-1]])
+        first = (ends - ends[0]) // width
+        start, owner = ranges(first[:-1], first[1:] - length)
+        window = Rolling(values, BASE_B).spans(start, start + length)
+        order = np.lexsort((window, anchor[owner]))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(anchor[owner][order]) != 0) | (window[order][1:] != window[order][:-1])
+        group, begin = np.cumsum(new) - 1, np.flatnonzero(new)
+        if earlier:
+            ids = batch.column("id")
+            rank = pc.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="min").to_numpy().astype(np.int64)
+            known = ids.is_valid().to_numpy(zero_copy_only=False)
+            rank[~known] = np.iinfo(np.int64).max
+            least = np.minimum.reduceat(rank[owner][order], begin) if len(begin) else begin
+            hit = (rank[owner][order] > least[group]) & known[owner][order]
+        else:
+            hit = np.diff(np.append(begin, len(order)))[group] > 1
+        at = np.sort(order[hit])  # in the order of slices and of places in them
+        cut_ = np.ones(len(at), bool)
+        cut_[1:] = (np.diff(owner[at]) != 0) | (start[at][1:] > start[at][:-1] + length)
+        a = np.flatnonzero(cut_)
+        b = np.append(a[1:], len(at))[: len(a)] - 1
+        which = owner[at[a]]
+        lo = batch.column("lo").to_numpy()[which] - first[which]
+        take = pa.array(which)
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("id").take(take),
+                batch.column("row").take(take),
+                pa.array((lo + start[at[a]]).astype(np.int32)),
+                pa.array((lo + start[at[b]] + length).astype(np.int32)),
+            ],
+            names=["id", "row", "start", "end"],
+        )
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            anchor = batch.column("anchor").to_numpy()
+            done = int(np.searchsorted(anchor, anchor[-1]))  # the last anchor may go on in the next batch
+            if held and anchor[0] != held[0].column("anchor")[0].as_py():
+                yield from whole(held)
+                held = []
+            if done:
+                yield from whole([*held, batch.slice(0, done)])
+                held = []
+            held.append(batch.slice(done))
+        if held:
+            yield from whole(held)
+
+    def whole(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        anchor = batch.column("anchor").to_numpy()
+        at = 0
+        while at < len(anchor):  # anchors of about so many slices at once
+            to = int(np.searchsorted(anchor, anchor[min(at + 2048, len(anchor) - 1)], "right"))
+            yield spans(batch.slice(at, to - at), anchor[at:to])
+            at = to
+
+    kind = cut.schema["id"].dataType.simpleString()
+    dealt = cut.repartition("anchor").sortWithinPartitions("anchor")
+    return dealt.mapInArrow(rows, f"id {kind}, row long, start int, end int")
 
 
 def with_lists(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:

@@ -7,14 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canvass.llm.arrays import byte_values
-from canvass.llm.repeats import occurrences, removed, single_windows
-from canvass.llm.store import documents, drop_stored, keyed, stored
+from canvass.llm.repeats import occurrences, removed, shared_windows, single_windows, slices
+from canvass.llm.store import documents, keyed, stored
 
 
 def _bytes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return byte_values()[data], offsets
 
 
+def _values(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return data, offsets
+
+
 def _cut(text: bytes, runs: list[tuple[int, int]]) -> tuple[int, int, bytes]:
     kept, at = [], 0
     for start, end in runs:
@@ -25,7 +29,7 @@ def _cut(text: bytes, runs: list[tuple[int, int]]) -> tuple[int, int, bytes]:
     return len(text), len(text) - len(left), left
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, digit: int = 40) -> DataFrame:
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, digit: int = 80, bucket: int = 4096) -> DataFrame:
     """Cut every byte covered by a string of ``length`` bytes that starts anywhere else too.
 
     Suffixes are dealt out by most-significant-digit passes and only ``length`` bytes deep;
@@ -34,33 +38,36 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     so the first digit is the least-hashed run of ``digit`` bytes in the string and its
     place: neighbouring suffixes have it in common and travel as one row. The second
     digit is all they cover together; rows with equal second digits are repeats as they
-    are. What is left, one row for each second digit of a bucket, is dealt out suffix by
-    suffix by its whole string.
+    are. What is left, one row for each second digit of a bucket, is sorted by the whole
+    strings: inside a task for buckets of up to ``bucket`` rows, dealt out string by string
+    over all tasks for larger ones.
 
     Returns ``(id_col, n_bytes, n_removed, spans, kept)``: ``spans`` are maximal runs of
     bytes, ``kept`` the rest as binary, since a cut may fall inside a character. A null text
     is empty. Every occurrence goes, the first too, and strings may overlap themselves.
-    Rows with one id and one text are one string each. Strings are compared by two 64-bit
-    hashes.
+    Rows with equal id and text are told apart by nothing and both count. Strings are
+    compared by two 64-bit hashes.
     """
     docs = keyed(docs, id_col, text_col)
-    first = stored(occurrences(docs, _bytes, length, digit), "digit-1")
+    first = occurrences(docs, _bytes, length, digit)
     full = first.groupBy("anchor").count().where("count > 1").select("anchor")
     second = stored(first.join(full, "anchor", "left_semi"), "digit-2")
-    drop_stored(first)
 
-    buckets = second.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("id", "row", "lo", "hi")).alias("one"))
+    buckets = stored(second.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("id", "row", "lo", "hi")).alias("one")), "buckets")
     equal = second.join(buckets.where("n > 1").select("anchor", "ctx"), ["anchor", "ctx"], "left_semi")
     equal = equal.select("id", "row", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
 
-    several = buckets.groupBy("anchor").count().where("count > 1").select("anchor")
-    left = buckets.join(several, "anchor", "left_semi").select("anchor", "one.*")
-    strings = stored(single_windows(docs, left, _bytes, length), "strings")
+    several = stored(buckets.groupBy("anchor").agg(F.count("*").alias("digits")).where("digits > 1"), "several")
+    left = buckets.join(several, "anchor").select("anchor", "digits", "one.*")
+    small = slices(docs, left.where(F.col("digits") <= bucket), _values, length)
+    parts = shared_windows(small, byte_values().take, 1, length, earlier=False)
+
+    strings = single_windows(docs, left.where(F.col("digits") > bucket), _bytes, length)
     repeats = strings.groupBy("anchor", "window").count().where("count > 1").select("anchor", "window")
-    parts = strings.join(repeats, ["anchor", "window"], "left_semi")
-    parts = parts.select("id", "row", "start", (F.col("start") + length).alias("end"))
+    large = strings.join(repeats, ["anchor", "window"], "left_semi")
+    large = large.select("id", "row", "start", (F.col("start") + length).alias("end"))
 
-    out = removed(docs, equal.unionByName(parts), _cut, "binary")
+    out = removed(docs, equal.unionByName(parts).unionByName(large), _cut, "binary")
     return out.withColumnsRenamed({"id": id_col, "n_units": "n_bytes"})
 
 
