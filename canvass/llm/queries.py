@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from canvass.llm.decontaminate import op6_benchmark_hits
+from canvass.llm.mixing import op2_mix_sources
+from canvass.llm.quality import op8_quality_rules
 from canvass.llm.simhash import op5_simhash_groups
 from canvass.llm.substring_dedup import op1_substring_dedup
 from canvass.llm.suffix_dedup import op9_suffix_dedup
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op5_simhash_groups, op6_benchmark_hits, op9_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op5_simhash_groups, op6_benchmark_hits, op8_quality_rules, op9_suffix_dedup)}
 ORACLE: dict[str, str] = {}
