@@ -145,7 +145,7 @@ def mix_sources(
     seed: int = 0,
     id_col: str = "doc_id",
     text_col: str = "text",
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame]:
     """How many words a mix takes of every document.
 
     ``sources`` is an array column: a document may belong to several sources, or to the
@@ -158,8 +158,10 @@ def mix_sources(
     is a matter of how sources are defined, not of the amount of data; only their sums come
     to the driver. Documents are then chosen by a seeded hash of id and text: reruns agree.
 
-    Returns ``(id_col, row, size, pattern, taken)``, one row for each input row. ``size`` is the
-    number of words between ASCII white space (null: 0); rows alike in id and text are treated alike.
+    Returns ``(id_col, row, size, sources, taken)``, one row for each input row, and
+    ``(source, source_size, target)``. ``size`` is the number of words between ASCII white
+    space (null: 0). Rows alike in id, text and sources get equal numbers of words. Without
+    rows there is no target.
     """
     text_words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     pattern = F.to_json(F.array_sort(F.array_distinct(sources)))
@@ -200,5 +202,13 @@ def mixed(docs: DataFrame) -> DataFrame:
     return out.join(goal, out["source"].eqNullSafe(goal["goal_source"])).drop("goal_source")
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The documents the mix takes words of, all columns, with ``taken`` beside them."""
+    taken = mixed(docs).where("taken > 0").groupBy("doc_id", "row").agg(F.max("taken").alias("taken"))
+    taken = taken.withColumnsRenamed({"doc_id": "mix_id", "row": "mix_row"}).hint("shuffle_hash")
+    same = docs["doc_id"].eqNullSafe(taken["mix_id"]) & (F.xxhash64(docs["text"]) == taken["mix_row"])
+    return docs.join(taken, same).select(*[docs[c] for c in docs.columns], "taken")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
