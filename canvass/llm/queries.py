@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from canvass.llm.context_tree import op3_context_tree
 from canvass.llm.decontaminate import op6_benchmark_hits
 from canvass.llm.line_dedup import op7_line_dedup
 from canvass.llm.mixing import op2_mix_sources
@@ -11,6 +12,6 @@ from canvass.llm.simhash import op5_simhash_groups
 from canvass.llm.substring_dedup import op1_substring_dedup
 from canvass.llm.suffix_dedup import op9_suffix_dedup
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op5_simhash_groups, op6_benchmark_hits, op7_line_dedup, op8_quality_rules, op9_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_mix_sources, op3_context_tree, op5_simhash_groups, op6_benchmark_hits, op7_line_dedup, op8_quality_rules, op9_suffix_dedup)}
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE: dict[str, str] = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
