@@ -36,12 +36,11 @@ def _rarity(docs: DataFrame) -> Column:
 def _ranked(tokens: Column, rarity: Column) -> Column:
     """Tokens as numbers that sort from rare to common."""
 
-    def number(token: Column) -> Column:
-        h = F.xxhash64(token)
+    def number(h: Column) -> Column:
         step = F.get(rarity, F.pmod(h, F.lit(RARITY_SLOTS)).cast("int"))
         return F.shiftleft(step.cast("long"), 56) + h.bitwiseAND((1 << 56) - 1)
 
-    return F.array_sort(F.transform(tokens, number))
+    return F.sort_array(F.transform(F.transform(tokens, lambda x: F.xxhash64(x)), number))
 
 
 def _similar(t: Fraction, n: Column, m: Column, i: Column, j: Column, a: Column, b: Column) -> Column:
@@ -58,64 +57,77 @@ def _similar(t: Fraction, n: Column, m: Column, i: Column, j: Column, a: Column,
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, t: Fraction) -> DataFrame:
-    """The pairs ``(later, earlier)`` of line places whose token sets have Jaccard similarity ``t`` or more."""
-    places = pairs.select(F.explode(F.array("later", "earlier")).alias("p")).distinct().select("p.*")
-    lists = places.groupBy("id", "row").agg(F.collect_set("line").alias("lines"))
+    """Whether the token sets of the lines at ``later_place`` and ``earlier_place`` have Jaccard similarity ``t`` or more."""
+    places = pairs.select(F.explode(F.array("later_place", "earlier_place")).alias("p")).distinct().select("p.*")
+    lists = places.groupBy("id", "row").agg(F.collect_list("line").alias("lines"))
     found = with_lists(docs, lists, "inner").withColumn("all", F.split("text", "\n"))
     found = found.select("id", "row", F.explode("lines").alias("line"), "all")
     sets = found.select(F.struct("id", "row", "line").alias("p"), _tokens(F.get("all", "line")).alias("set"))
-    both = pairs.join(sets.select(F.col("p").alias("later"), F.col("set").alias("a")), "later")
-    both = both.join(sets.select(F.col("p").alias("earlier"), F.col("set").alias("b")), "earlier")
+    both = pairs.join(sets.select(F.col("p").alias("later_place"), F.col("set").alias("a")), "later_place")
+    both = both.join(sets.select(F.col("p").alias("earlier_place"), F.col("set").alias("b")), "earlier_place")
     common = F.size(F.array_intersect("a", "b"))
     union = F.size("a") + F.size("b") - common
-    return both.withColumn("ok", common * t.denominator >= union * t.numerator).select("later", "earlier", "ok")
+    return both.select("later", "earlier", "star", (common * t.denominator >= union * t.numerator).alias("ok"))
 
 
 def kept_lines(docs: DataFrame, similarity: float = 0.8, least: int = 5) -> tuple[DataFrame, DataFrame]:
     """Places of judged lines that stay, ``(id, row, line)``, and the numbers of lines of every document."""
     t = Fraction(similarity).limit_denominator(1000)
-    rarity = _rarity(docs)
     lines = docs.select("id", "row", F.posexplode(F.split("text", "\n")).alias("line", "body"))
-    lines = lines.select("id", "row", "line", _ranked(_tokens(F.col("body")), rarity).alias("v"))
-    lines = lines.withColumn("n", F.size("v"))
+    lines = lines.select("id", "row", "line", _ranked(_tokens(F.col("body")), _rarity(docs)).alias("v"))
+    keep = F.ceil(F.size("v") * F.lit(t.numerator) / F.lit(t.denominator)).cast("int")
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
+    bits = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x)))
+    prefix = F.transform(F.slice("v", 1, F.size("v") - keep + 1), lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
+    lines = lines.select("id", "row", "line", F.size("v").alias("n"), F.xxhash64("v").alias("set"), bits.alias("bits"), prefix.alias("prefix"))
+    lines = stored(lines, "lines")
     totals = lines.groupBy("id", "row").agg(F.count("*").alias("n_lines"), F.count_if(F.col("n") >= least).alias("n_judged"))
 
-    # One row for each token set, with its first place and the tokens of its prefix.
-    keep = F.ceil(F.col("n") * F.lit(t.numerator) / F.lit(t.denominator)).cast("int")
-    bits = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))))
-    prefix = F.transform(F.slice("v", 1, F.col("n") - keep + 1), lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
-    judged = lines.where(F.col("n") >= least).select("id", "row", "line", "n", F.xxhash64("v").alias("set"), bits.alias("bits"), prefix.alias("prefix"))
-    classes = judged.groupBy("set", "bits", "n").agg(F.min(F.struct("id", "row", "line")).alias("place"), F.count("*").alias("rows"), F.first("prefix").alias("prefix"))
-    classes = stored(classes, "line-classes")
+    # One row for each token set, with its first place; classes are numbered in the order of places.
+    classes = lines.where(F.col("n") >= least).groupBy("set", "bits", "n")
+    classes = classes.agg(F.min(F.struct("id", "row", "line")).alias("place"), F.count("*").alias("rows"), F.first("prefix").alias("prefix"))
+    classes = stored(classes.sort("place").withColumn("c", F.monotonically_increasing_id()), "line-classes")
 
     # Lines that share a prefix token. The fullest, else earliest, class of a token answers for
     # the whole token: what seems similar to it and is later is not paired with others yet.
-    tokens = classes.select(F.posexplode("prefix").alias("i", "token"), "n", "bits", "place", "rows").repartition("token")
-    first = W.partitionBy("token").orderBy(F.desc("rows"), "place")
-    pivot = F.first(F.struct("i", "n", "bits", "place")).over(first)
-    seen = tokens.withColumn("p", pivot)
-    near = _similar(t, F.col("n"), F.col("p.n"), F.col("i"), F.col("p.i"), F.col("bits"), F.col("p.bits")) & (F.col("place") != F.col("p.place"))
-    seen = seen.withColumn("near", near)
-    star = seen.where("near").select(F.greatest("place", "p.place").alias("later"), F.least("place", "p.place").alias("earlier"), F.lit(True).alias("star"))
-    open_ = seen.where("not (near and p.place < place)")
-    other = tokens.select(*[F.col(c).alias(f"o_{c}") for c in ("i", "token", "n", "bits", "place")])
+    each = classes.select(F.posexplode("prefix").alias("i", "token"), "n", "bits", "c", "rows")
+    each = each.select("token", "c", "bits", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("i")).alias("ni"), "rows")
+    tokens = each.repartition("token")
+
+    def fits(one: str, two: str) -> Column:
+        n, i = (lambda x: F.shiftright(f"{x}ni", 32)), (lambda x: F.col(f"{x}ni").bitwiseAND((1 << 32) - 1))
+        return _similar(t, n(one), n(two), i(one), i(two), F.col(f"{one}bits"), F.col(f"{two}bits"))
+
+    first = W.partitionBy("token").orderBy(F.desc("rows"), "c")
+    seen = tokens.withColumn("p", F.first(F.struct("ni", "bits", "c")).over(first))
+    seen = seen.withColumn("near", fits("", "p.") & (F.col("c") != F.col("p.c")))
+    star = seen.where("near").select(F.greatest("c", "p.c").alias("later"), F.least("c", "p.c").alias("earlier"), F.lit(True).alias("star"))
+    open_ = seen.where("not (near and p.c < c)").drop("p", "near")
 
     def paired(left: DataFrame) -> DataFrame:
-        fits = _similar(t, F.col("n"), F.col("o_n"), F.col("i"), F.col("o_i"), F.col("bits"), F.col("o_bits"))
-        both = left.join(other, (F.col("token") == F.col("o_token")) & (F.col("o_place") < F.col("place")) & fits)
-        return both.select(F.col("place").alias("later"), F.col("o_place").alias("earlier"), F.lit(False).alias("star"))
+        # All columns of the other side are asked for, so that it is the same exchange as the left one's.
+        other = tokens.select(*[F.col(c).alias(f"o_{c}") for c in tokens.columns])
+        both = left.join(other, (F.col("token") == F.col("o_token")) & (F.col("o_c") < F.col("c")) & (F.col("o_rows") > 0) & fits("", "o_"))
+        return both.select(F.col("c").alias("later"), F.col("o_c").alias("earlier"), F.lit(False).alias("star"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        places = classes.select("c", "place")
+        for side in ("later", "earlier"):
+            pairs = pairs.join(places.select(F.col("c").alias(side), F.col("place").alias(f"{side}_place")), side)
+        return _verified(docs, pairs, t)
 
     pairs = stored(star.unionByName(paired(open_)).groupBy("later", "earlier").agg(F.max("star").alias("star")), "line-pairs")
-    checked = stored(_verified(docs, pairs.select("later", "earlier"), t), "line-checked")
+    checked = stored(verified(pairs), "line-checked")
     gone = checked.where("ok").select("later").distinct()
 
     # Lines that only seemed similar to a token's class are paired with all others after all.
-    missed = stored(checked.where("not ok").join(pairs.where("star"), ["later", "earlier"], "left_semi").select("later").distinct().join(gone, "later", "left_anti"), "line-missed")
+    missed = checked.where("not ok and star").select("later").distinct().join(gone, "later", "left_anti")
+    missed = stored(missed.withColumnRenamed("later", "c"), "line-missed")
     if not missed.isEmpty():
-        again = paired(tokens.join(missed, F.col("place") == F.col("later"), "left_semi")).drop("star").distinct()
+        again = paired(each.join(missed, "c", "left_semi")).groupBy("later", "earlier").agg(F.max("star").alias("star"))
         again = stored(again.join(checked, ["later", "earlier"], "left_anti"), "line-pairs")
-        gone = gone.unionByName(_verified(docs, again, t).where("ok").select("later")).distinct()
-    stay = classes.select("place").join(gone, F.col("place") == F.col("later"), "left_anti").select("place.*")
+        gone = gone.unionByName(verified(again).where("ok").select("later")).distinct()
+    stay = classes.select("c", "place").join(gone, F.col("c") == F.col("later"), "left_anti").select("place.*")
     return stay, totals
 
 
