@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 # Bytes of words: everything but ASCII white space.
 NOT_SPACE = np.ones(256, bool)
@@ -29,7 +29,7 @@ LOWER[65:91] += 32
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Parts of a batch with their texts as ``(bytes, offsets)``; a null counts as empty.
 
-    A part has about one megabyte of text, or one document.
+    A part has about half a megabyte of text, or one document.
     """
     for batch in batches:
         if not batch.num_rows:

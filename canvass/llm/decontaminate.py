@@ -60,7 +60,7 @@ class _Matcher:
         at = np.minimum(np.searchsorted(self.pairs, key[maybe]), len(self.pairs) - 1)
         known[maybe[self.pairs[at] == key[maybe]]] = True
         if width == 2:
-            known[np.maximum(first[1:], 1) - 1] = False  # a pair does not go on in the next document
+            known[first[1:][first[1:] > 0] - 1] = False  # a pair does not go on in the next document
             edge = np.diff(known.astype(np.int8), prepend=0)
             start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + 1
         else:

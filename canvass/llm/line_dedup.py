@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from canvass.llm.repeats import with_lists
-from canvass.llm.store import documents, keyed, stored
+from canvass.llm.store import documents, drop_stored, keyed, stored
 
 SPACE = r"[\x20\x09-\x0D]+"
 RARITY_SLOTS = 1 << 16
@@ -81,34 +81,34 @@ def kept_lines(docs: DataFrame, similarity: float = 0.8, least: int = 5) -> tupl
     prefix = F.transform(F.slice("v", 1, F.size("v") - keep + 1), lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
     lines = lines.select("id", "row", "line", F.size("v").alias("n"), F.xxhash64("v").alias("set"), bits.alias("bits"), prefix.alias("prefix"))
     lines = stored(lines, "lines")
-    totals = lines.groupBy("id", "row").agg(F.count("*").alias("n_lines"), F.count_if(F.col("n") >= least).alias("n_judged"))
+    totals = stored(lines.groupBy("id", "row").agg(F.count("*").alias("n_lines"), F.count_if(F.col("n") >= least).alias("n_judged")), "line-totals")
 
     # One row for each token set, with its first place; classes are numbered in the order of places.
     classes = lines.where(F.col("n") >= least).groupBy("set", "bits", "n")
     classes = classes.agg(F.min(F.struct("id", "row", "line")).alias("place"), F.count("*").alias("rows"), F.first("prefix").alias("prefix"))
     classes = stored(classes.sort("place").withColumn("c", F.monotonically_increasing_id()), "line-classes")
+    drop_stored(lines)
 
     # Lines that share a prefix token. The fullest, else earliest, class of a token answers for
     # the whole token: what seems similar to it and is later is not paired with others yet.
-    each = classes.select(F.posexplode("prefix").alias("i", "token"), "n", "bits", "c", "rows")
+    each = classes.select(F.posexplode("prefix").alias("i", "token"), "n", "bits", "c", "rows").where("token is not null")
     each = each.select("token", "c", "bits", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("i")).alias("ni"), "rows")
-    tokens = each.repartition("token")
 
     def fits(one: str, two: str) -> Column:
         n, i = (lambda x: F.shiftright(f"{x}ni", 32)), (lambda x: F.col(f"{x}ni").bitwiseAND((1 << 32) - 1))
         return _similar(t, n(one), n(two), i(one), i(two), F.col(f"{one}bits"), F.col(f"{two}bits"))
 
-    first = W.partitionBy("token").orderBy(F.desc("rows"), "c")
-    seen = tokens.withColumn("p", F.first(F.struct("ni", "bits", "c")).over(first))
-    seen = seen.withColumn("near", fits("", "p.") & (F.col("c") != F.col("p.c")))
-    star = seen.where("near").select(F.greatest("c", "p.c").alias("later"), F.least("c", "p.c").alias("earlier"), F.lit(True).alias("star"))
-    open_ = seen.where("not (near and p.c < c)").drop("p", "near")
-
-    def paired(left: DataFrame) -> DataFrame:
-        # All columns of the other side are asked for, so that it is the same exchange as the left one's.
-        other = tokens.select(*[F.col(c).alias(f"o_{c}") for c in tokens.columns])
-        both = left.join(other, (F.col("token") == F.col("o_token")) & (F.col("o_c") < F.col("c")) & (F.col("o_rows") > 0) & fits("", "o_"))
-        return both.select(F.col("c").alias("later"), F.col("o_c").alias("earlier"), F.lit(False).alias("star"))
+    def paired(left: DataFrame, right: DataFrame) -> DataFrame:
+        first = W.partitionBy("token").orderBy(F.desc("rows"), "c")
+        seen = left.withColumn("p", F.first(F.struct("ni", "bits", "c")).over(first))
+        seen = seen.withColumn("near", fits("", "p.") & (F.col("c") != F.col("p.c")))
+        other = right.select(*[F.col(c).alias(f"o_{c}") for c in right.columns])
+        star = F.col("near") & (F.col("o_c") == F.col("p.c"))
+        rest = ~(F.col("near") & (F.col("p.c") < F.col("c"))) & (F.col("o_c") < F.col("c")) & fits("", "o_")
+        # Both sides' counts are asked for together, so that both are one and the same exchange.
+        both = seen.join(other, (F.col("token") == F.col("o_token")) & (F.col("rows") + F.col("o_rows") > 0) & (star | rest))
+        both = both.select(F.greatest("c", "o_c").alias("later"), F.least("c", "o_c").alias("earlier"), star.alias("star"))
+        return both.groupBy("later", "earlier").agg(F.max("star").alias("star"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         places = classes.select("c", "place")
@@ -116,7 +116,8 @@ def kept_lines(docs: DataFrame, similarity: float = 0.8, least: int = 5) -> tupl
             pairs = pairs.join(places.select(F.col("c").alias(side), F.col("place").alias(f"{side}_place")), side)
         return _verified(docs, pairs, t)
 
-    pairs = stored(star.unionByName(paired(open_)).groupBy("later", "earlier").agg(F.max("star").alias("star")), "line-pairs")
+    tokens = each.repartition("token")
+    pairs = stored(paired(tokens, tokens), "line-pairs")
     checked = stored(verified(pairs), "line-checked")
     gone = checked.where("ok").select("later").distinct()
 
@@ -124,7 +125,9 @@ def kept_lines(docs: DataFrame, similarity: float = 0.8, least: int = 5) -> tupl
     missed = checked.where("not ok and star").select("later").distinct().join(gone, "later", "left_anti")
     missed = stored(missed.withColumnRenamed("later", "c"), "line-missed")
     if not missed.isEmpty():
-        again = paired(each.join(missed, "c", "left_semi")).groupBy("later", "earlier").agg(F.max("star").alias("star"))
+        other = each.select(*[F.col(c).alias(f"o_{c}") for c in each.columns])
+        again = each.join(missed, "c", "left_semi").join(other, (F.col("token") == F.col("o_token")) & (F.col("o_c") < F.col("c")) & fits("", "o_"))
+        again = again.select(F.col("c").alias("later"), F.col("o_c").alias("earlier"), F.lit(False).alias("star")).distinct()
         again = stored(again.join(checked, ["later", "earlier"], "left_anti"), "line-pairs")
         gone = gone.unionByName(verified(again).where("ok").select("later")).distinct()
     stay = classes.select("c", "place").join(gone, F.col("c") == F.col("later"), "left_anti").select("place.*")

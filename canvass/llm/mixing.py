@@ -207,7 +207,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     taken = mixed(docs).where("taken > 0").groupBy("doc_id", "row").agg(F.max("taken").alias("taken"))
     taken = taken.withColumnsRenamed({"doc_id": "mix_id", "row": "mix_row"}).hint("shuffle_hash")
     same = docs["doc_id"].eqNullSafe(taken["mix_id"]) & (F.xxhash64(docs["text"]) == taken["mix_row"])
-    return docs.join(taken, same).select(*[docs[c] for c in docs.columns], "taken")
+    return docs.join(taken, same).select(*[docs[c] for c in docs.columns if c != "taken"], taken["taken"])
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -206,8 +206,9 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     compared there only. Inside an anchor links are reduced to a spanning forest before
     they leave the task.
 
-    Returns ``(id_col, row, fingerprint, component_id)``, one row for each input row:
-    ``fingerprint`` as 16 hexadecimal digits, ``component_id`` the smallest id of the group.
+    Returns ``(id_col, row, fingerprint, component_id, root)``, one row for each input row:
+    ``fingerprint`` as 16 hexadecimal digits, ``component_id`` the smallest id of the group,
+    ``root`` its least fingerprint, which tells groups apart where ids repeat.
     A text without words, or null, has fingerprint zero. Fewer words than a shingle make
     one shingle. A null id is never the smallest unless a group has no other.
     """
@@ -217,17 +218,17 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rooted = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left")
     rooted = rooted.select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_print = rooted.join(smallest, "root").select("fingerprint", "component_id")
+    of_print = rooted.join(smallest, "root").select("fingerprint", "root", "component_id")
     out = own.join(of_print, "fingerprint")
     return out.select(
-        F.col("id").alias(id_col), "row", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+        F.col("id").alias(id_col), "row", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id", "root"
     )
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 2) -> DataFrame:
     """Keep one row of each group: the smallest id, and of equal ids the smallest text hash."""
     groups = simhash_groups(docs, id_col, text_col, threshold=threshold)
-    kept = groups.groupBy("component_id").agg(F.min(F.struct(id_col, "row")).alias("keep")).select("keep.*")
+    kept = groups.groupBy("root").agg(F.min(F.struct(id_col, "row")).alias("keep")).select("keep.*")
     kept = kept.select(F.col(id_col).alias("keep_id"), F.col("row").alias("keep_row"))
     same = docs[id_col].eqNullSafe(kept["keep_id"]) & (F.xxhash64(docs[text_col]) == kept["keep_row"])
     found = docs.join(kept, same, "left_semi")
@@ -235,4 +236,4 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_groups(documents(spark, sf_dir)).drop("row")
+    return simhash_groups(documents(spark, sf_dir)).drop("row", "root")
