@@ -25,18 +25,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """One of the given tables.
-
-    ``spread_by`` is for queries that work hard on each row: a table that comes in fewer
-    files than there are cores is spread over them by that column. With files enough for
-    all cores nothing is moved.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and len(df.inputFiles()) < cores:
-        return df.repartition(cores, spread_by)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables; the scan's own split size decides how it is spread."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:

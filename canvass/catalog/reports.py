@@ -314,6 +314,7 @@ def agent_report(spark, sf_dir):
       {count_sql("grupo_experimento IS NULL")} AS "NA", {count_sql("grupo_experimento = 'CONTROL'")} AS "CONTROL",
       {count_sql("grupo_experimento = 'ESQUEMA FUNCIONAL DETALLADO'")} AS "ESQUEMA FUNCIONAL DETALLADO",
       {count_sql("grupo_experimento = 'ESQUEMA FUNCIONAL SIMPLE'")} AS "ESQUEMA FUNCIONAL SIMPLE",
+      {count_sql("coalesce(grupo_experimento, 'NA') NOT IN ('NA', 'CONTROL', 'ESQUEMA FUNCIONAL DETALLADO', 'ESQUEMA FUNCIONAL SIMPLE')")} AS other,
       CAST(count(*) AS BIGINT) AS total
     FROM audited WHERE is_effective = 1 GROUP BY 1""",
 )
@@ -333,7 +334,7 @@ _DETAIL = (
 )
 _DAY_SQL = f"""{AUDITED}, detail AS (
   SELECT day, {', '.join(f'CAST({sql} AS BIGINT) AS "{n}"' for n, sql in zip(rp.DETAIL_INDICATORS, _DETAIL))}
-  FROM audited WHERE is_final = 1 AND status_num <> 4 GROUP BY 1),
+  FROM audited WHERE is_final = 1 GROUP BY 1),
 status AS (
   SELECT day, {', '.join(f'{count_sql(f"status_num = {i}")} AS "{n}"' for i, n in enumerate(rp.STATUS_INDICATORS, start=1))}
   FROM audited GROUP BY 1)"""
@@ -341,8 +342,7 @@ status AS (
 
 def _days(spark, sf_dir):
     visits = audited(spark, sf_dir)
-    detail = rp.daily_detail(visits.filter("status_num <> 4"), SURVEY)
-    return detail, rp.daily_status(visits, SURVEY)
+    return rp.daily_detail(visits, SURVEY), rp.daily_status(visits, SURVEY)
 
 
 @query("daily_detail", f"WITH {_DAY_SQL} SELECT * FROM detail")
@@ -355,7 +355,7 @@ def daily_status(spark, sf_dir):
     return _days(spark, sf_dir)[1]
 
 
-# Months the orders of every scale cover; the sheet's columns are given, not discovered.
+# Months the orders of every scale cover; the sheet's columns are given, and any other month would be an error.
 MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
 
 

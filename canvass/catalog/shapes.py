@@ -119,12 +119,15 @@ def wide_to_long(spark, sf_dir):
     return reshape.to_long(table(spark, sf_dir, "lineitem"), _KEYS, _MEASURES, as_type="double")
 
 
+_EVENTS = ["view", "click", "purchase", "signup", "error", "never"]
+
+
 @query(
     "long_to_wide",
     """SELECT user_id, """
     + ", ".join(
         f'coalesce(max(n) FILTER (WHERE event_type = \'{t}\'), 0) AS "{t}"'
-        for t in ("click", "error", "view", "never")
+        for t in _EVENTS
     )
     + """ FROM (SELECT user_id, event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2) GROUP BY 1""",
 )
@@ -132,19 +135,20 @@ def long_to_wide(spark, sf_dir):
     counts = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(
         F.count(F.lit(1)).alias("n")
     )
-    return reshape.to_wide(counts, ["user_id"], "event_type", "n", ["click", "error", "view", "never"], fill=0)
+    return reshape.to_wide(counts, ["user_id"], "event_type", "n", _EVENTS, fill=0)
 
 
 @query(
     "counts_to_columns",
     """SELECT c_nationkey, CAST(count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS BIGINT) AS "BUILDING",
          CAST(count(*) FILTER (WHERE c_mktsegment = 'MACHINERY') AS BIGINT) AS "MACHINERY",
-         CAST(count(*) FILTER (WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')) AS BIGINT) AS total
+         CAST(count(*) FILTER (WHERE c_mktsegment IS NULL OR c_mktsegment NOT IN ('BUILDING', 'MACHINERY')) AS BIGINT) AS other,
+         CAST(count(*) AS BIGINT) AS total
        FROM customer GROUP BY 1""",
 )
 def counts_to_columns(spark, sf_dir):
     return reshape.counts_to_columns(
-        table(spark, sf_dir, "customer"), "c_nationkey", "c_mktsegment", ["BUILDING", "MACHINERY"]
+        table(spark, sf_dir, "customer"), "c_nationkey", "c_mktsegment", ["BUILDING", "MACHINERY"], other="other"
     )
 
 

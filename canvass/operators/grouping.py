@@ -8,7 +8,12 @@ figures back in one of two ways:
 * few groups: the figures are counted and, if at most ``SMALL_ROWS``, broadcast;
 * many groups: an equi-join in which only the *hot* keys are salted. A key is hot when it
   holds more than ``HOT_SHARE`` of the rows, so there are at most ``1 / HOT_SHARE`` of
-  them whatever the size of the data, and replicating them costs next to nothing.
+  them whatever the size of the data. Each is cut into as many parts as its own row count
+  asks for, so that a part has about ``HOT_ROWS`` rows at any scale; keys below that share
+  are left to the skew handling of the join at run time.
+
+The list of hot keys and the figures come from one and the same aggregation, whose
+exchange is reused: the table is read once for it and once for the join.
 """
 
 from __future__ import annotations
@@ -24,10 +29,10 @@ from canvass.functions.columns import as_column
 SMALL_ROWS = 2_000
 HOT_SHARE = 1 / 256
 HOT_ROWS = 200_000
-SALTS = 64
 
 _N = "__rows"
 _SALT = "__salt"
+_HOT = "__hot_parts"
 
 
 def same_keys(left: Sequence[Column], right: Sequence[Column]) -> Column:
@@ -143,15 +148,24 @@ def keep_groups(
 def hot_groups(
     groups: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> tuple[Column, Column]:
-    """From a :func:`group_figures` table: the row count above which a group is hot, and a
-    condition on a row's own keys telling whether its group is.
+    """From a :func:`group_figures` table: the row count above which a group is hot, and,
+    by a row's own keys, into how many parts its group is cut (NULL where it is not hot).
     """
-    total = groups.agg(F.sum(_N)).scalar()
+    # Every figure is asked for, so that this is the aggregation that the join uses, too.
+    figures = [as_column(c) for c in groups.columns if c not in (*keys, _N)]
+    whole = groups.filter((F.col(_N) > 0) | (F.xxhash64(*figures) == 0)) if figures else groups
+    total = whole.agg(F.sum(_N)).scalar()
     limit = F.greatest(F.lit(hot_rows).cast("double"), total * F.lit(HOT_SHARE))
     this_key = F.struct(*[as_column(k) for k in keys])
     # at most 1 / HOT_SHARE keys can each hold more than HOT_SHARE of the rows
-    hot_keys = groups.filter(F.col(_N) > limit).agg(F.collect_list(this_key)).scalar()
-    return limit, F.array_contains(hot_keys, this_key)
+    entries = F.collect_list(F.struct(this_key, parts_of(F.col(_N), hot_rows)))
+    hot_keys = whole.filter(F.col(_N) > limit).agg(F.map_from_entries(entries)).scalar()
+    return limit, F.try_element_at(hot_keys, this_key)
+
+
+def parts_of(rows: Column, hot_rows: int = HOT_ROWS) -> Column:
+    """Parts of about ``hot_rows`` rows, two at least."""
+    return F.greatest(F.lit(2), F.ceil(rows / F.lit(max(hot_rows, 1)))).cast("int")
 
 
 def _attach(
@@ -163,13 +177,11 @@ def _attach(
     spread_by: Sequence[str],
     hot_rows: int,
 ) -> DataFrame:
-    limit, is_hot = hot_groups(groups, keys, hot_rows)
-    spread = F.pmod(F.xxhash64(*[as_column(c) for c in spread_by]), F.lit(SALTS)).cast("int")
-    salted = df.withColumn(
-        _SALT, F.when(is_hot, spread).otherwise(F.lit(0))
-    )
-    copies = F.when(F.col(_N) > limit, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
-    )
+    limit, parts = hot_groups(groups, keys, hot_rows)
+    spread = F.pmod(F.xxhash64(*[as_column(c) for c in spread_by]), F.col(_HOT).cast("bigint")).cast("int")
+    salted = df.withColumn(_HOT, parts).withColumn(_SALT, F.coalesce(spread, F.lit(0))).drop(_HOT)
+    copies = F.when(
+        F.col(_N) > limit, F.sequence(F.lit(0), parts_of(F.col(_N), hot_rows) - 1)
+    ).otherwise(F.array(F.lit(0)))
     right = kept.withColumn(_SALT, F.explode(copies)).drop(_N)
     return _join_on(salted, right, keys, how, extra=[_SALT]).drop(_SALT)

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canvass.functions.columns import as_column, row_sum
-from canvass.operators.grouping import SMALL_ROWS
+from canvass.functions.columns import ColumnLike, as_column
 
 
 def to_long(
@@ -28,6 +27,18 @@ def to_long(
     )
 
 
+def listed(name: ColumnLike, values: Sequence[object], other: str | None = None) -> Column:
+    """The value itself where it is listed; any other is ``other``, or an error if that is not given."""
+    column = as_column(name)
+    known = [v for v in values if v is not None]
+    hit = column.isin(*known) if known else F.lit(False)
+    if None in values:
+        hit = hit | column.isNull()
+    text = F.concat(F.lit(f"not among the listed columns of {name}: "), F.coalesce(column.cast("string"), F.lit("NULL")))
+    rest = F.raise_error(text) if other is None else F.lit(other)
+    return F.when(F.coalesce(hit, F.lit(False)), column).otherwise(rest)
+
+
 def to_wide(
     df: DataFrame,
     ids: Sequence[str],
@@ -37,8 +48,12 @@ def to_wide(
     *,
     fill: object | None = None,
 ) -> DataFrame:
-    """One column per listed value of ``name``; the columns are given, not discovered."""
-    wide = df.groupBy(*ids).pivot(name, list(values)).agg(F.first(value, ignorenulls=True))
+    """One column per listed value of ``name``; the columns are given, not discovered.
+
+    A value that is not listed is an error, so that nothing is lost silently. Of several
+    rows for one cell the largest value stands.
+    """
+    wide = df.withColumn(name, listed(name, values)).groupBy(*ids).pivot(name, list(values)).agg(F.max(value))
     if fill is None:
         return wide
     return wide.withColumns(
@@ -54,13 +69,24 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def counts_to_columns(
-    df: DataFrame, group: str, category: str, values: Sequence[object], *, total: str = "total"
+    df: DataFrame,
+    group: str,
+    category: str,
+    values: Sequence[object],
+    *,
+    total: str = "total",
+    other: str | None = None,
 ) -> DataFrame:
-    """Rows per group and category as columns, with a row total."""
-    wide = df.groupBy(group).pivot(category, list(values)).agg(F.count(F.lit(1)))
-    names = [str(v) for v in values]
-    filled = wide.withColumns({n: F.coalesce(as_column(n), F.lit(0)) for n in names})
-    return filled.withColumn(total, row_sum(names))
+    """Rows per group and listed category as columns, and all rows of the group as ``total``.
+
+    Rows of other categories, NULL among them, are counted in ``total`` and, if named, in a
+    column ``other``.
+    """
+    known = F.coalesce(as_column(category).isin(*values), F.lit(False))
+    counts = [F.count_if(F.coalesce(as_column(category) == v, F.lit(False))).alias(str(v)) for v in values]
+    if other is not None:
+        counts.append(F.count_if(~known).alias(other))
+    return df.groupBy(group).agg(*counts, F.count(F.lit(1)).alias(total))
 
 
 def full_join_by(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -74,13 +100,9 @@ def full_join_by(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     )
 
 
-def column_values(df: DataFrame, column: str, max_values: int = SMALL_ROWS) -> list:
-    """Sorted distinct values that become columns; too many are an error, never cut."""
-    rows = df.select(column).distinct().orderBy(as_column(column).asc_nulls_last())
-    found = [r[0] for r in rows.limit(max_values + 1).collect()]
-    if len(found) > max_values:
-        raise ValueError(f"{column} has more than {max_values} values to spread over columns")
-    return found
+def column_values(df: DataFrame, column: str) -> list:
+    """Sorted distinct values that become columns; each is a part of the plan, however many there are."""
+    return [r[0] for r in df.select(column).distinct().orderBy(as_column(column).asc_nulls_last()).collect()]
 
 
 def transpose_summary(

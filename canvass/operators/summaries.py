@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from canvass.functions.columns import ColumnLike, as_column, compute_once
+from canvass.operators.reshape import listed
 
 
 def count_by(df: DataFrame, *keys: str, out: str = "n") -> DataFrame:
@@ -59,8 +60,9 @@ def contingency(
     *,
     keep_null_rows: bool = False,
 ) -> DataFrame:
-    """Two-way counts with fixed columns; absent pairs are 0, NULLs left out."""
+    """Two-way counts with fixed columns; absent pairs are 0, NULLs left out, an unlisted value is an error."""
     data = df if keep_null_rows else df.filter(as_column(rows).isNotNull())
+    data = data.withColumn(columns, listed(columns, [*values, None]))
     pivot = data.groupBy(rows).pivot(columns, list(values)).agg(F.count(F.lit(1)))
     names = [str(v) for v in values]
     return pivot.withColumns({n: F.coalesce(as_column(n), F.lit(0)) for n in names})

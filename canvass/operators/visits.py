@@ -114,7 +114,8 @@ def number_attempts(
     """
     at = as_column(time)
     groups = group_figures(df, [unit], {})
-    _, is_hot = hot_groups(groups, [unit], hot_rows)
+    _, parts = hot_groups(groups, [unit], hot_rows)
+    is_hot = parts.isNotNull()
     piece = F.date_trunc("hour", at) if slice_by is None else slice_by
     # one non-null struct key: NULL units stay together, and the join below finds the rows
     # already distributed by it

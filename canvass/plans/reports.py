@@ -429,9 +429,8 @@ def intervention_by_agent(clear: DataFrame, s: Survey) -> DataFrame:
     rows = clear.filter(F.col("is_effective") == 1).withColumn(
         "__treatment", F.coalesce(as_column(s.treatment), F.lit("NA"))
     )
-    values = reshape.column_values(rows, "__treatment")
-    wanted = [v for v in (sv.DETAILED_SCHEME, sv.SIMPLE_SCHEME) if v not in values]
-    return reshape.counts_to_columns(rows, s.agent, "__treatment", [*values, *wanted])
+    named = [sv.DETAILED_SCHEME, sv.SIMPLE_SCHEME, sv.CONTROL, "NA"]
+    return reshape.counts_to_columns(rows, s.agent, "__treatment", named, other="other")
 
 
 # ---- days --------------------------------------------------------------------------

@@ -135,6 +135,18 @@ def test_unpivot_pivot_round_trip(spark):
     assert {r["indicator"]: (r["d.1"], r["d2"]) for r in turned.collect()} == {"a.x": (1, 3), "b": (2, 0)}
 
 
-def test_too_many_columns_is_an_error(spark):
-    with pytest.raises(ValueError, match="more than 3"):
-        reshape.column_values(spark.range(9), "id", 3)
+def test_as_many_columns_as_there_are_days(spark):
+    days = spark.range(2001).select(F.format_string("d%04d", "id").alias("day"), F.col("id").alias("n"))
+    turned = reshape.transpose_summary(days, "day", ["n"])
+    row = turned.collect()[0].asDict()
+    assert len(row) == 2002 and row["d2000"] == 2000
+
+
+def test_unlisted_values_are_not_lost(spark):
+    rows = [("a", "x"), ("a", "y"), ("b", "z"), ("b", None)]
+    df = spark.createDataFrame(rows, "g string, c string")
+    counted = {r["g"]: r for r in reshape.counts_to_columns(df, "g", "c", ["x", "y"], other="other").collect()}
+    assert (counted["a"]["x"], counted["a"]["y"], counted["a"]["other"], counted["a"]["total"]) == (1, 1, 0, 2)
+    assert (counted["b"]["x"], counted["b"]["y"], counted["b"]["other"], counted["b"]["total"]) == (0, 0, 2, 2)
+    with pytest.raises(Exception, match="not among the listed"):
+        reshape.to_wide(df.withColumn("v", F.lit(1)), ["g"], "c", "v", ["x", "y"]).collect()
