@@ -126,7 +126,7 @@ def _as_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return _features(data, *words(data, offsets, ALNUM))
 
 
-def train(others: list[str], variants: int = 24, rounds: int = 300, seed: int = 1) -> Classifier:
+def train(others: list[str], variants: int = 16, rounds: int = 120, seed: int = 1) -> Classifier:
     """Fit on variants of the templates, the near misses and ``others``, paragraphs taken to be no licence.
 
     Variants lose words and gain some of ``others`` before or after. Every fifth row is
@@ -199,19 +199,30 @@ _TEMPLATE_WORDS = {f: [t.encode().translate(_BLANKED).split() for g, t in TEMPLA
 
 
 def best_template(family: str, paragraph: bytes) -> float:
+    """The largest ordered share of one of the family's templates; words in any order bound it from above."""
     found = paragraph.translate(_BLANKED).split()
-    return max((_ordered_share(t, found) for t in _TEMPLATE_WORDS[family]), default=0.0)
+    there, best = set(found), 0.0
+    for template in _TEMPLATE_WORDS[family]:
+        if sum(w in there for w in template) > best * len(template):
+            best = max(best, _ordered_share(template, found))
+    return best
+
+
+def _no_licence(text: str, least: float = 0.6) -> bool:
+    there = set(text.encode().translate(_BLANKED).split())
+    close = [f for f in FAMILIES[1:] if any(sum(w in there for w in t) >= least * len(t) for t in _TEMPLATE_WORDS[f])]
+    return all(best_template(f, text.encode()) < least for f in close)
 
 
 def background(docs: DataFrame, text_col: str, rows: int) -> list[str]:
     """At most ``rows`` paragraphs of the corpus, the first by hash, none close to a template."""
     lines = docs.select(F.explode(F.split(F.col(text_col), "\n")).alias("line")).where("length(trim(line)) between 1 and 2000")
     taken = [r["line"] for r in lines.orderBy(F.xxhash64("line"), "line").limit(rows).collect()]
-    return [t for t in taken if max(best_template(f, t.encode()) for f in FAMILIES[1:]) < 0.6]
+    return [t for t in taken if _no_licence(t)]
 
 
 def scan_licences(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 2000, least: float = 0.5, confirm: float = 0.8
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 1000, least: float = 0.5, confirm: float = 0.8
 ) -> DataFrame:
     """Licence families named in each document.
 
