@@ -208,8 +208,8 @@ def add_details(df: DataFrame, s: Survey, labels: Mapping[str, str]) -> DataFram
 
 
 def clear_table(audited: DataFrame) -> DataFrame:
-    """Audited rows without the per-question flags, codes turned into labels."""
-    df = drop_by_prefix(audited, "m_", "s_", "trash_")
+    """Audited rows without the per-question flags and projected places, codes turned into labels."""
+    df = drop_by_prefix(audited, "m_", "s_", "trash_").drop("utm_x", "utm_y")
     new = {}
     if "asistencia" in df.columns:
         new["p10_05a_label"] = recode("asistencia", sv.ATTENDANCE_LABELS)
@@ -218,9 +218,17 @@ def clear_table(audited: DataFrame) -> DataFrame:
     return df.withColumns(new) if new else df
 
 
-def household_table(clear: DataFrame, mapping: Sequence[tuple[str, str]]) -> DataFrame:
-    """The clean table: passing rows only, answers under their final names."""
-    return select_mapping(clear.filter(F.col("audit_pass") == 1), mapping)
+def household_table(
+    clear: DataFrame, mapping: Sequence[tuple[str, str]], order: Sequence[str] = ()
+) -> DataFrame:
+    """The clean table: passing rows only, answers under their final names.
+
+    It is sorted by ``order`` (start time, then key) before that column is projected away.
+    """
+    passing = clear.filter(F.col("audit_pass") == 1)
+    if order:
+        passing = passing.orderBy(*[as_column(o).asc_nulls_last() for o in order])
+    return select_mapping(passing, mapping)
 
 
 def run_audit(

@@ -12,6 +12,7 @@ from canvass.functions.columns import select_mapping
 from canvass.plans import published
 from canvass.plans import reports as rp
 from canvass.plans.audit import Audit, household_table
+from canvass.session import cut_lineage
 from canvass.sources import sinks
 
 
@@ -23,6 +24,7 @@ def audited_sheet(clear: DataFrame) -> DataFrame:
 def exports(
     audit: Audit,
     progress: DataFrame,
+    visits: DataFrame,
     *,
     households: Sequence[tuple[str, str]] | None = None,
     days: Sequence[str] | None = None,
@@ -36,8 +38,8 @@ def exports(
     return {
         "raw": audit.raw,
         "audited": audited_sheet(audit.clear),
-        "households": household_table(audit.clear, mapping),
-        "cases": select_mapping(rp.cases_table(audit.submissions, s), published.CASES),
+        "households": household_table(audit.clear, mapping, [s.started, s.key]),
+        "cases": select_mapping(visits, published.CASES),
         "daily_progress": daily,
         "block_progress": select_mapping(progress, published.BLOCK_PROGRESS),
     }
@@ -50,14 +52,18 @@ def sheets(
     names: DataFrame,
     run_date: date,
     as_of: datetime,
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The monitoring sheets by name, and the block progress they share."""
+) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """The monitoring sheets by name, and the block progress and visits they share.
+
+    Those two are written once and read again, for the sheets and for the exports.
+    """
     s, audited = audit.survey, audit.audited
     assignment = rp.block_assignment(enumerators, names)
     progress = rp.block_progress(
         rp.block_targets(cases, assignment), rp.block_work(audited, s), run_date
     )
-    visits = rp.cases_table(audit.submissions, s)
+    progress = cut_lineage(progress, "block_progress")
+    visits = cut_lineage(rp.cases_table(audit.submissions, s), "cases")
     targets = rp.agent_targets(rp.agent_block_targets(cases, enumerators))
     out = {
         "alerts": select_mapping(rp.alert_table(audited, s), published.ALERT_TABLE),
@@ -75,12 +81,26 @@ def sheets(
             rp.appointments(cases, audit.clear, as_of, s), published.APPOINTMENTS
         ),
     }
-    if all(c in audited.columns for c in published.SCHEME_REVIEW.values()):
-        out["scheme_review"] = rp.scheme_review(
-            audited, published.SCHEME_REVIEW_FLAGS, published.SCHEME_REVIEW,
-            published.SCHEME_REVIEW_BLANKS,
-        )
-    return out, progress
+    wanted = [*published.SCHEME_REVIEW.values(), *published.SCHEME_REVIEW_FLAGS, s.day]
+    lacking = {c: F.lit(None).cast("string") for c in wanted if c not in audited.columns}
+    review = audited.withColumns(lacking) if lacking else audited  # questions nobody answered yet
+    out["scheme_review"] = rp.scheme_review(
+        review, published.SCHEME_REVIEW_FLAGS, published.SCHEME_REVIEW, published.SCHEME_REVIEW_BLANKS
+    )
+    return out, progress, visits
+
+
+def reviews(audit: Audit) -> dict[str, DataFrame]:
+    """The review tables of a run: histories, superseded visits, treatments, recordings."""
+    s = audit.survey
+    closures, partial = rp.closure_review(audit.submissions, s), rp.partial_review(audit.submissions, s)
+    return {
+        "closure_review": closures,
+        "partial_review": partial,
+        "superseded": audit.superseded(),
+        "intervention_by_agent": rp.intervention_by_agent(audit.clear, s),
+        "audio_coverage": rp.audio_coverage(audit.audited, s),
+    }
 
 
 def publish_run(
@@ -97,10 +117,10 @@ def publish_run(
     fmt: str = "parquet",
 ) -> list[str]:
     """Write every sheet and export below ``root``; the cases may go to a second place."""
-    tables, progress = sheets(audit, cases, enumerators, names, run_date, as_of)
-    tables |= exports(audit, progress, households=households)
+    tables, progress, visits = sheets(audit, cases, enumerators, names, run_date, as_of)
+    tables |= exports(audit, progress, visits, households=households)
+    tables |= reviews(audit)
     also = {"cases": second_cases} if second_cases else None
-    written = sinks.publish_all(tables, root, fmt=fmt, also=also)
-    clean = tables["households"].orderBy(F.col("key"))
-    sinks.write_dated_csv(clean, f"{root}/clean", run_date)
+    written = sinks.publish_all(tables, root, fmt=fmt, also=also, orders=published.ORDERS)
+    sinks.write_dated_csv(tables["households"], f"{root}/clean", run_date)
     return written

@@ -211,6 +211,22 @@ AUDITED = {
     "missing_detail": "detalle_missings",
 }
 
+# Order of the published sheets, "-" before a heading for descending. The last
+# headings make the order full where the published one leaves ties.
+ORDERS = {
+    "alerts": ["Alertas Detalladas", "-Tipo de encuesta", "ID Encuesta"],
+    "block_scorecard": ["Indice_Calidad", "Manzana"],
+    "block_progress": ["-% Recorrido", "Semaforo", "Manzana"],
+    "agent_consolidated": ["Técnico", "Encuestador"],
+    "agent_productivity": ["-EFECTIVAS", "Tecnico", "Encuestador"],
+    "agent_report": ["-% Avance Real", "Técnico"],
+    "appointments": ["tecnico", "id"],
+    "cases": ["id_padron", "-fecha_visita", "key"],
+    "scheme_review": ["FECHA", "PADRÓN"],
+    "daily_progress": ["Indicador"],
+    "intervention_by_agent": ["-total"],
+}
+
 # Columns of the clean household table, "output" or "output source".
 HOUSEHOLD_COLUMNS = """
 day

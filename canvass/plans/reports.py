@@ -482,11 +482,13 @@ def appointments(
     s: Survey,
     *,
     status: str = "CITA",
-    order: Sequence[str] = (),
+    order: Sequence[str] = ("fecha", "cita", "manzana", "agent", "nombre_participante", "telefono_1", "previous_attempt"),
 ) -> DataFrame:
     """Open appointments with the interviewer's comment and whether they are overdue.
 
-    One row per case: the first in ``order`` (of case columns), then by comment.
+    One row per case: the first in ``order``, then by comment. The default order takes in
+    all published columns, so that the same cases give the same table in whatever order
+    they come.
     """
     wanted = cases.filter((F.col("status") == status) & (as_column("id").cast("string") != "1"))
     left = wanted.select(

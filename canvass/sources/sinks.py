@@ -6,9 +6,9 @@ import logging
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
-from canvass.functions.columns import drop_nested
+from canvass.functions.columns import as_column, drop_nested
 
 log = logging.getLogger(__name__)
 
@@ -49,13 +49,28 @@ def publish(
         raise PublishError(f"{label}: {error}") from error
 
 
+def ordering(names: Sequence[str]) -> list[Column]:
+    """Sort columns from names, "-" for descending; NULL comes last either way."""
+    return [
+        as_column(n[1:]).desc_nulls_last() if n.startswith("-") else as_column(n).asc_nulls_last() for n in names
+    ]
+
+
 def publish_all(
-    tables: Mapping[str, DataFrame], root: str, *, fmt: str = "parquet", also: Mapping[str, str] | None = None
+    tables: Mapping[str, DataFrame],
+    root: str,
+    *,
+    fmt: str = "parquet",
+    also: Mapping[str, str] | None = None,
+    orders: Mapping[str, Sequence[str]] | None = None,
 ) -> list[str]:
-    """Publish a set of named tables below ``root``; ``also`` adds a second place for some."""
+    """Publish a set of named tables below ``root``; ``also`` adds a second place for some.
+
+    ``orders`` names the columns a table is sorted by, "-" before a descending one.
+    """
     for name, df in tables.items():
         places = [f"{root}/{name}"] + ([also[name]] if also and name in also else [])
-        publish(df, places, label=name, fmt=fmt)
+        publish(df, places, label=name, fmt=fmt, order_by=ordering((orders or {}).get(name, ())))
     return list(tables)
 
 

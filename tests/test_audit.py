@@ -212,6 +212,25 @@ def test_publish_everything(spark, audit, tmp_path):
     assert blocks["Manzana 7"]["Padrones Totales"] == 1 and blocks["Manzana 7"]["Tecnico"] == "Ana"
     meetings = spark.read.parquet(f"{root}/appointments").collect()
     assert [(r["id"], r["intento_anterior"], r["alerta_cita_vencida"]) for r in meetings] == [("2", 2.0, "Pendiente")]
+    # every sheet comes back in its order, with NULL last
+    for name, order in published.ORDERS.items():
+        sheet = spark.read.parquet(f"{root}/{name}")
+        assert {n.lstrip("-") for n in order} <= set(sheet.columns), name
+        keys = [[r[n.lstrip("-")] for n in order] for r in sheet.coalesce(1).collect()]
+        if "-" not in "".join(order) and name != "daily_progress":
+            plain = [[(v is None, "" if v is None else v) for v in k] for k in keys]
+            assert plain == sorted(plain), name
+        elif order[0].startswith("-") and all(isinstance(k[0], (int, float)) for k in keys):
+            assert [k[0] for k in keys] == sorted((k[0] for k in keys), reverse=True), name
+    assert not {"utm_x", "utm_y"} & set(spark.read.parquet(f"{root}/audited").columns)
+    assert {"scheme_review", "closure_review", "partial_review", "superseded", "audio_coverage"} <= set(written)
+    # the same cases in another order give the same appointments
+    twice = cases.unionByName(cases.withColumn("cita", F.lit("Dia: 2020-03-01 Hora: 14:30")).where("status = 'CITA'"))
+    both = [
+        {tuple(r) for r in rp.appointments(c, audit.clear, datetime(2026, 3, 20), audit.survey).collect()}
+        for c in (twice.orderBy("cita"), twice.orderBy(F.desc("cita")))
+    ]
+    assert both[0] == both[1]
     assert spark.read.csv(f"{root}/clean/run_date=2026-03-25", header=True).count() == audit.audited.filter("audit_pass = 1").count()
     refreshed = rp.case_refresh(
         cases.withColumns({c: F.lit(None).cast("string") for c in rp.CASE_REFRESH if c not in cases.columns}),
