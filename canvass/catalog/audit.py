@@ -36,7 +36,10 @@ _ANSWERS = {
     "status_survey": "substr(o_orderpriority, 1, 1)",
     "status_survey_resp": "o_orderpriority",
     "pub_status": "o_orderpriority",
-    "pub_comentario": "c_mktsegment",
+    "pub_comentario": (
+        "CASE o_orderkey % 7 WHEN 0 THEN 'No quiso responder' WHEN 1 THEN ' Volver MAÑANA ' "
+        "WHEN 2 THEN 'todo OK' ELSE c_mktsegment END"
+    ),
     "grupo_experimento": "o_orderstatus",
     "audio_encuesta": "CASE WHEN o_orderkey % 3 = 0 THEN 'a.mp3' END",
     "p1_07": "CASE WHEN o_orderkey % 8 <> 0 THEN CAST(o_orderkey * 31 % 9 AS STRING) END",
@@ -227,3 +230,17 @@ def survey_alerts(spark, sf_dir):
 def survey_scorecard(spark, sf_dir):
     card = rp.block_scorecard(run(spark, sf_dir).audited, SURVEY)
     return card.select("block", "units_visited", "passed", "with_alert", "quality_index", "teams")
+
+
+@query(
+    "survey_discrepancies",
+    f"""WITH {SURVEY_SQL}, said AS (
+      SELECT *, CASE o_orderkey % 7 WHEN 0 THEN 5 WHEN 1 THEN 4 WHEN 2 THEN 1 END AS comment_code,
+             CASE o_orderkey % 7 WHEN 0 THEN 'RECHAZO' WHEN 1 THEN 'CITA' WHEN 2 THEN 'COMPLETA' END AS comment_label
+      FROM kept)
+    SELECT key, pub_comentario, status_survey, comment_code, comment_label,
+           '⚠️ DISCREPANCIA: Marcó ' || status_survey || ' pero escribió ''' || comment_label || '''' AS comment_alert
+    FROM said WHERE comment_code IS NOT NULL AND status_survey <> CAST(comment_code AS VARCHAR)""",
+)
+def survey_discrepancies(spark, sf_dir):
+    return run(spark, sf_dir).discrepancies()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -55,6 +56,14 @@ class Audit:
         return visits.effective_not_final(self.marked(), "is_final", "category", sv.EFFECTIVE)
 
 
+    def discrepancies(self) -> DataFrame:
+        """Submissions whose comment speaks of another status than declared."""
+        s = self.survey
+        read = textquality.comment_discrepancy(self.submissions, s.status)
+        columns = [s.key, s.comment, s.status, "comment_code", "comment_label", "comment_alert"]
+        return textquality.discrepancy_review(read, columns)
+
+
 def correct(raw: DataFrame, s: Survey, manual: ManualInputs) -> DataFrame:
     """Blacklist, test days, corrections of unit and status."""
     df = move_before(raw, s.key, s.unit)
@@ -104,9 +113,26 @@ def classify(df: DataFrame, s: Survey) -> DataFrame:
     )
 
 
+def read_comments(df: DataFrame, s: Survey) -> DataFrame:
+    """The status the comment speaks of, as code and label, where the form has comments."""
+    if s.comment not in df.columns:
+        return df
+    return textquality.classify_comments(df, s.comment, sv.COMMENT_RULES, s.labels, sv.NO_COMMENT_LABEL)
+
+
 def prepare(raw: DataFrame, s: Survey, manual: ManualInputs) -> DataFrame:
     """All submissions, cleaned and classified."""
-    return classify(normalise(correct(raw, s, manual), s), s)
+    return classify(read_comments(normalise(correct(raw, s, manual), s), s), s)
+
+
+def question_labels(rules: Sequence[formlogic.FormRule], width: int = 45) -> dict[str, str]:
+    """A short label for each question of the form: no markup, the first of several, the fixed ones as given."""
+    out: dict[str, str] = {}
+    for rule in rules:
+        text = sv.LABEL_OVERRIDES.get(rule.variable, re.sub("<[^>]*>", "", rule.label or "")).strip()
+        if text and rule.variable not in out:
+            out[rule.variable] = text if len(text) <= width else text[: width - 3] + "..."
+    return out
 
 
 def identities(s: Survey, with_phone: bool) -> Column:
@@ -245,6 +271,8 @@ def run_audit(
 ) -> Audit:
     """The whole audit.
 
+    ``labels`` names the questions in texts; by default the form's own labels do.
+
     Three tables are written on the way, because several later steps read a few columns of
     each: the classified submissions, the final visits, and the audited final visits.
     """
@@ -257,6 +285,7 @@ def run_audit(
     usable = formlogic.usable_rules(final, rules)
     edges = geofence.polygon_edges(polygons, polygon_unit, polygon_wkt)
     flagged = raise_flags(final, s, usable, edges, manual.accepted_duplicates)
-    detailed = add_details(consolidate(flagged, s), s, labels or {})
+    names = question_labels(rules) if labels is None else labels
+    detailed = add_details(consolidate(flagged, s), s, names)
     audited = cut_lineage(detailed, "audited", folder)
     return Audit(raw, submissions, audited, clear_table(audited), s)

@@ -91,10 +91,11 @@ def sheets(
 
 
 def reviews(audit: Audit) -> dict[str, DataFrame]:
-    """The review tables of a run: histories, superseded visits, treatments, recordings."""
+    """The review tables of a run: histories, superseded visits, comments, treatments, recordings."""
     s = audit.survey
     closures, partial = rp.closure_review(audit.submissions, s), rp.partial_review(audit.submissions, s)
-    return {
+    found = {"comment_discrepancies": audit.discrepancies()} if s.comment in audit.submissions.columns else {}
+    return found | {
         "closure_review": closures,
         "partial_review": partial,
         "superseded": audit.superseded(),

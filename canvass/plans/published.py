@@ -209,6 +209,9 @@ AUDITED = {
     "outlier_detail": "detalle_outliers",
     "nsnr_detail": "lista_nsnr",
     "missing_detail": "detalle_missings",
+    "comment_clean": "comentario_clean",
+    "comment_code": "status_comentario_num",
+    "comment_label": "status_comentario_label",
 }
 
 # Order of the published sheets, "-" before a heading for descending. The last

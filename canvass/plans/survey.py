@@ -56,7 +56,7 @@ YES_NO_LABELS = {1: "SI", 2: "NO", 98: "NO RESPONDE"}
 NUMERIC_QUESTIONS = ("p1_07", "p2_02", "p3_06", "p4_01", "p10_03", "p5_09", "p5_19", "p8_01")
 NSNR_QUESTIONS = (
     "p4_04", "p4_05", "p5_08", "p5_19", "p8_01",
-    *(f"p3_07{c}" for c in "abcdefghij"),
+    "p3_07a", "p3_07b", "p3_07c", "p3_07d", "p3_07e", "p3_07f", "p3_07g", "p3_07h", "p3_07i", "p3_07j",
     "p5_06", "p5_07", "p5_11",
 )
 TEXT_QUESTIONS = (
