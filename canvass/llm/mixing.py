@@ -118,21 +118,24 @@ def _selected(sized: DataFrame, plan: DataFrame) -> DataFrame:
     so no pattern is ever ordered as a whole. Rows that even the last range does not tell
     apart give equal shares; a single one is taken or left, whichever is nearer.
     """
-    at = sized.join(plan, "pattern").withColumn("part", F.when(F.col("rest") <= 0, F.lit(0).cast("long")))
+    # One row for each pattern, which the driver has had already.
+    at = sized.join(F.broadcast(plan), "pattern").withColumn("part", F.when(F.col("rest") <= 0, F.lit(0).cast("long")))
     for level in range(LEVELS):
         slot = F.shiftrightunsigned("hash", 64 - LEVEL_BITS * (level + 1)).bitwiseAND((1 << LEVEL_BITS) - 1)
         at = at.withColumn("slot", slot)
-        sums = at.where("part is null").groupBy("pattern", "slot").agg(F.sum("size").alias("words"), F.count("*").alias("rows"), F.first("rest").alias("goal"))
-        upto = F.sum("words").over(W.partitionBy("pattern").orderBy("slot"))
-        sums = sums.withColumn("before", upto - F.col("words")).select(
-            F.col("pattern").alias("p"), F.col("slot").alias("s"), "words", "rows", F.greatest(F.col("goal") - F.col("before"), F.lit(0).cast("long")).alias("left")
-        )
-        found = at.join(sums, (F.col("pattern") == F.col("p")) & (F.col("slot") == F.col("s")), "left")
-        last = level == LEVELS - 1
-        shared = F.when(F.col("rows") > 1, F.floor(F.col("size") * (F.col("left") / F.col("words")))).otherwise(F.when(2 * F.col("left") >= F.col("size"), F.col("size")).otherwise(0))
-        part = F.when(F.col("part").isNotNull(), F.col("part")).when(F.col("left") >= F.col("words"), F.col("size")).when(F.col("left") == 0, F.lit(0).cast("long"))
-        at = found.withColumn("part", part.otherwise(shared.cast("long")) if last else part)
-        at = at.withColumn("rest", F.when(F.col("part").isNull(), F.col("left")).otherwise(F.col("rest"))).drop("p", "s", "words", "rows", "left")
+        sums = at.where("part is null").groupBy("pattern", "slot")
+        sums = sums.agg(F.sum("size").alias("words"), F.count("*").alias("rows"), F.first("rest").alias("goal"))
+        sums = sums.withColumn("upto", F.sum("words").over(W.partitionBy("pattern").orderBy("slot")))
+        edge = sums.withColumn("left", F.col("goal") - (F.col("upto") - F.col("words"))).where("left >= 0 and goal < upto")
+        edge = edge.select(F.col("pattern").alias("p"), F.col("slot").alias("s"), "left", "words", "rows")
+        found = at.join(F.broadcast(edge), F.col("pattern") == F.col("p"), "left")
+        part = F.when(F.col("part").isNotNull(), F.col("part")).when(F.col("slot") < F.col("s"), F.col("size"))
+        part = part.when(F.col("slot") > F.col("s"), F.lit(0).cast("long"))
+        if level == LEVELS - 1:
+            nearer = F.when(2 * F.col("left") >= F.col("size"), F.col("size")).otherwise(0)
+            part = part.otherwise(F.when(F.col("rows") > 1, F.floor(F.col("size") * (F.col("left") / F.col("words")))).otherwise(nearer).cast("long"))
+        at = found.withColumn("part", part).withColumn("rest", F.when(F.col("part").isNull(), F.col("left")).otherwise(F.col("rest")))
+        at = at.drop("p", "s", "words", "rows", "left")
     return at
 
 
@@ -199,7 +202,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     out, goal = mix_sources(docs, F.array(F.col("source").cast("string")), _repeating)
     out = out.withColumn("source", F.col("sources")[0])
     goal = goal.withColumnRenamed("source", "goal_source")
-    return out.join(goal, out["source"].eqNullSafe(goal["goal_source"])).drop("goal_source")
+    return out.join(F.broadcast(goal), out["source"].eqNullSafe(goal["goal_source"])).drop("goal_source")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:

@@ -45,6 +45,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = keyed(docs, id_col, text_col)
     seeds = stored(occurrences(docs, _words, length, seed), "seeds")
     shared = seeds.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("anchor")
+    shared = stored(shared, "shared")  # by itself, so that the join may split an anchor that many documents have
     seeds_shared = stored(seeds.join(shared, "anchor", "left_semi"), "seeds-shared")
     drop_stored(seeds)
 
@@ -52,7 +53,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = seeds_shared.join(classes, ["anchor", "ctx"])
     whole = placed.where("id > smallest").select("id", "row", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
 
-    several = classes.groupBy("anchor").count().where("count > 1").select("anchor")
+    several = stored(classes.groupBy("anchor").count().where("count > 1").select("anchor"), "several")
     leaders = placed.where("id = smallest").join(several, "anchor", "left_semi")
     windows = stored(single_windows(docs, leaders, _words, length), "windows")
     earliest = windows.groupBy("anchor", "window").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").drop("b")

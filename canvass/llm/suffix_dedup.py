@@ -50,7 +50,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     docs = keyed(docs, id_col, text_col)
     first = occurrences(docs, _bytes, length, digit)
-    full = first.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Written by itself, so that the join may split a bucket that many documents have.
+    full = stored(first.groupBy("anchor").count().where("count > 1").select("anchor"), "digit-1")
     second = stored(first.join(full, "anchor", "left_semi"), "digit-2")
 
     buckets = stored(second.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("id", "row", "lo", "hi")).alias("one")), "buckets")
