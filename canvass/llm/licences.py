@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canvass.llm.arrays import ALNUM, LOWER, Rolling, mix, pieces, word_hashes, words
-from canvass.llm.store import documents
+from canvass.llm.store import documents, small_batches
 
 # How licence families are commonly named and granted.
 TEMPLATES = [
@@ -236,7 +236,7 @@ def scan_licences(
     ``(paragraph, family, probability, similarity, confirmed)`` of the paragraphs with a
     family, ``paragraph`` counted from 0 among lines with a word. Null and empty texts have no paragraphs.
     """
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(train(background(texts, "text", sample)))
     kind = texts.schema["id"].dataType.simpleString()
     entry = "struct<paragraph:int,family:string,probability:double,similarity:double,confirmed:boolean>"

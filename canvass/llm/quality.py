@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canvass.llm.arrays import BASE_A, BASE_B, NOT_SPACE, Rolling, byte_values, mix, pieces, word_hashes, words
-from canvass.llm.store import documents, keyed, stored
+from canvass.llm.store import documents, keyed, small_batches, stored
 
 COUNTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_ended_lines n_letters n_upper n_chars n_distinct".split()
 
@@ -103,13 +103,16 @@ def counts(data: np.ndarray, offsets: np.ndarray, window: int = 5) -> list[np.nd
     ]
 
 
-@F.arrow_udf(T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))
-def text_counts(text: pa.Array) -> pa.Array:
+def _text_counts(text: pa.Array) -> pa.Array:
     parts = [counts(data, offsets) for _, data, offsets in pieces(iter([pa.RecordBatch.from_arrays([text], names=["text"])]))]
     columns = [np.concatenate(c).astype(np.int64) for c in zip(*parts)] or [np.zeros(0, np.int64)] * len(COUNTS)
     return pa.StructArray.from_arrays([pa.array(c) for c in columns], names=COUNTS)
 
 
+# Said not to repeat its results, so that a filter on them does not compute them a second time.
+text_counts = F.arrow_udf(_text_counts, T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])).asNondeterministic()
+
+
 def votes() -> F.Column:
     """All votes of a row as one number in base 3: 0 abstains, 1 is good, 2 is bad."""
     code = F.lit(0)
@@ -168,7 +171,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
 
 def quality_filter(docs: DataFrame, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The documents that ``quality`` keeps, all columns as they were; texts are read twice and never shuffled."""
-    packed = docs.select(F.struct("*").alias("doc"), text_counts(F.col(text_col)).alias("c")).select("doc", "c.*").withColumn("votes", votes())
+    packed = small_batches(docs).select(F.struct("*").alias("doc"), text_counts(F.col(text_col)).alias("c")).select("doc", "c.*").withColumn("votes", votes())
     good = packed.join(F.broadcast(_fitted(packed)), "votes").where((F.col("quality") >= least) & ~F.expr(BASE_FAILED))
     return good.select("doc.*")
 

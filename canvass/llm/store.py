@@ -21,13 +21,25 @@ def drop_stored(df: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def small_batches(docs: DataFrame, rows: int = 1000) -> DataFrame:
+    """The documents as they are; batches to and from Python get no more than ``rows`` of them.
+
+    Spark's default of 10,000 rows is meant for numbers; of texts it makes tens of megabytes
+    for every task and copy.
+    """
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", docs.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= rows:
+        conf.set(name, str(rows))
+    return docs
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, row, text)`` of the documents and no other column.
 
     ``row`` tells apart rows that share an id: it is a hash of the text, so that it comes
     out the same however often and wherever the plan is run.
     """
-    return docs.select(
+    return small_batches(docs).select(
         F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).alias("text")
     )
 
