@@ -56,11 +56,11 @@ def _similar(t: Fraction, n: Column, m: Column, i: Column, j: Column, a: Column,
     return (differ * q <= most) & (F.bit_count(a.bitwiseXOR(b)) * q <= most)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, t: Fraction) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, t: Fraction, few: bool) -> DataFrame:
     """Whether the token sets of the lines at ``later_place`` and ``earlier_place`` have Jaccard similarity ``t`` or more."""
     places = pairs.select(F.explode(F.array("later_place", "earlier_place")).alias("p")).distinct().select("p.*")
     lists = places.groupBy("id", "row").agg(F.collect_list("line").alias("lines"))
-    found = with_lists(docs, lists, "inner").withColumn("all", F.split("text", "\n"))
+    found = with_lists(docs, lists, "inner", few).withColumn("all", F.split("text", "\n"))
     found = found.select("id", "row", F.explode("lines").alias("line"), "all")
     sets = found.select(F.struct("id", "row", "line").alias("p"), _tokens(F.get("all", "line")).alias("set"))
     both = pairs.join(sets.select(F.col("p").alias("later_place"), F.col("set").alias("a")), "later_place")
@@ -110,11 +110,11 @@ def kept_lines(docs: DataFrame, similarity: float = 0.8, least: int = 5) -> tupl
         both = both.select(F.greatest("c", "o_c").alias("later"), F.least("c", "o_c").alias("earlier"), star.alias("star"))
         return both.groupBy("later", "earlier").agg(F.max("star").alias("star"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def verified(pairs: DataFrame, few: bool = False) -> DataFrame:
         places = classes.select("c", "place")
         for side in ("later", "earlier"):
             pairs = pairs.join(places.select(F.col("c").alias(side), F.col("place").alias(f"{side}_place")), side)
-        return _verified(docs, pairs, t)
+        return _verified(docs, pairs, t, few)
 
     tokens = each.repartition("token")
     pairs = stored(paired(tokens, tokens), "line-pairs")
@@ -129,7 +129,7 @@ def kept_lines(docs: DataFrame, similarity: float = 0.8, least: int = 5) -> tupl
         again = each.join(missed, "c", "left_semi").join(other, (F.col("token") == F.col("o_token")) & (F.col("o_c") < F.col("c")) & fits("", "o_"))
         again = again.select(F.col("c").alias("later"), F.col("o_c").alias("earlier"), F.lit(False).alias("star")).distinct()
         again = stored(again.join(checked, ["later", "earlier"], "left_anti"), "line-pairs")
-        gone = gone.unionByName(verified(again).where("ok").select("later")).distinct()
+        gone = gone.unionByName(verified(again, few=True).where("ok").select("later")).distinct()
     stay = classes.select("c", "place").join(gone, F.col("c") == F.col("later"), "left_anti").select("place.*")
     return stay, totals
 

@@ -190,9 +190,13 @@ def shared_windows(cut: DataFrame, values_of: Callable[[np.ndarray], np.ndarray]
     return dealt.mapInArrow(rows, f"id {kind}, row long, start int, end int")
 
 
-def with_lists(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """Documents with the list gathered for each; the texts are streamed past the lists, not sorted."""
-    right = lists.withColumnRenamed("id", "list_id").withColumnRenamed("row", "list_row").hint("shuffle_hash")
+def with_lists(docs: DataFrame, lists: DataFrame, how: str, few: bool = False) -> DataFrame:
+    """Documents with the list gathered for each; the texts are streamed past the lists, not sorted.
+
+    Where lists are expected to be few, Spark may find that they can be sent to all tasks instead.
+    """
+    right = lists.withColumnRenamed("id", "list_id").withColumnRenamed("row", "list_row")
+    right = right if few else right.hint("shuffle_hash")
     same = docs["id"].eqNullSafe(right["list_id"]) & (docs["row"] == right["list_row"])
     return docs.join(right, same, how).drop("list_id", "list_row")
 
