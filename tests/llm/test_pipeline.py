@@ -3,7 +3,10 @@
 import duckdb
 
 import corpus_pipeline
+import pytest
+from canvass.llm.queries import ORACLE, QUERIES
 from canvass.llm.store import documents
+from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -38,3 +41,8 @@ def test_clean_documents_stay(spark):
     kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, SF_DIR).collect()}
     good = [i for (i,) in labels]
     assert sum(i in kept for i in good) >= 0.98 * len(good)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, name):
+    assert compare(spark, connect(SF_DIR), QUERIES[name], ORACLE[name], SF_DIR) is None
