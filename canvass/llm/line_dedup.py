@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,26 +71,14 @@ def _verified(docs: DataFrame, pairs: DataFrame, t: Fraction, few: bool) -> Data
     return both.select("later", "earlier", "star", (common * t.denominator >= union * t.numerator).alias("ok"))
 
 
-def kept_lines(docs: DataFrame, similarity: float = 0.8, least: int = 5) -> tuple[DataFrame, DataFrame]:
-    """Places of judged lines that stay, ``(id, row, line)``, and the numbers of lines of every document."""
-    t = Fraction(similarity).limit_denominator(1000)
-    lines = docs.select("id", "row", F.posexplode(F.split("text", "\n")).alias("line", "body"))
-    lines = lines.select("id", "row", "line", _ranked(_tokens(F.col("body")), _rarity(docs)).alias("v"))
-    keep = F.ceil(F.size("v") * F.lit(t.numerator) / F.lit(t.denominator)).cast("int")
-    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
-    bits = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x)))
-    prefix = F.transform(F.slice("v", 1, F.size("v") - keep + 1), lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
-    lines = lines.select("id", "row", "line", F.size("v").alias("n"), F.xxhash64("v").alias("set"), bits.alias("bits"), prefix.alias("prefix"))
-    lines = stored(lines, "lines")
-    totals = stored(lines.groupBy("id", "row").agg(F.count("*").alias("n_lines"), F.count_if(F.col("n") >= least).alias("n_judged")), "line-totals")
+def later_similar(classes: DataFrame, t: Fraction, verified: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
+    """``later``: the numbers of token sets that are similar to an earlier one.
 
-    # One row for each token set, with its first place; classes are numbered in the order of places.
-    classes = lines.where(F.col("n") >= least).groupBy("set", "bits", "n")
-    classes = classes.agg(F.min(F.struct("id", "row", "line")).alias("place"), F.count("*").alias("rows"), F.first("prefix").alias("prefix"))
-    classes = stored(classes.sort("place").withColumn("c", F.monotonically_increasing_id()), "line-classes")
-    drop_stored(lines)
-
-    # Lines that share a prefix token. The fullest, else earliest, class of a token answers for
+    ``classes`` has a row for each different set: its number ``c`` in the order of places, ``place``,
+    size ``n``, sketch ``bits``, ``prefix`` of rarest tokens, and how many ``rows`` have it. ``verified`` says of
+    pairs with ``later_place`` and ``earlier_place`` whether they are similar; ``few`` tells that few are expected.
+    """
+    # Classes that share a prefix token. The fullest, else earliest, class of a token answers for
     # the whole token: what seems similar to it and is later is not paired with others yet.
     each = classes.select(F.posexplode("prefix").alias("i", "token"), "n", "bits", "c", "rows").where("token is not null")
     each = each.select("token", "c", "bits", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("i")).alias("ni"), "rows")
@@ -110,18 +99,18 @@ def kept_lines(docs: DataFrame, similarity: float = 0.8, least: int = 5) -> tupl
         both = both.select(F.greatest("c", "o_c").alias("later"), F.least("c", "o_c").alias("earlier"), star.alias("star"))
         return both.groupBy("later", "earlier").agg(F.max("star").alias("star"))
 
-    def verified(pairs: DataFrame, few: bool = False) -> DataFrame:
+    def checked_pairs(pairs: DataFrame, few: bool = False) -> DataFrame:
         places = classes.select("c", "place")
         for side in ("later", "earlier"):
             pairs = pairs.join(places.select(F.col("c").alias(side), F.col("place").alias(f"{side}_place")), side)
-        return _verified(docs, pairs, t, few)
+        return verified(pairs, few)
 
     tokens = each.repartition("token")
     pairs = stored(paired(tokens, tokens), "line-pairs")
-    checked = stored(verified(pairs), "line-checked")
+    checked = stored(checked_pairs(pairs), "line-checked")
     gone = checked.where("ok").select("later").distinct()
 
-    # Lines that only seemed similar to a token's class are paired with all others after all.
+    # Those that only seemed similar to a token's class are paired with all others after all.
     missed = checked.where("not ok and star").select("later").distinct().join(gone, "later", "left_anti")
     missed = stored(missed.withColumnRenamed("later", "c"), "line-missed")
     if not missed.isEmpty():
@@ -129,7 +118,33 @@ def kept_lines(docs: DataFrame, similarity: float = 0.8, least: int = 5) -> tupl
         again = each.join(missed, "c", "left_semi").join(other, (F.col("token") == F.col("o_token")) & (F.col("o_c") < F.col("c")) & fits("", "o_"))
         again = again.select(F.col("c").alias("later"), F.col("o_c").alias("earlier"), F.lit(False).alias("star")).distinct()
         again = stored(again.join(checked, ["later", "earlier"], "left_anti"), "line-pairs")
-        gone = gone.unionByName(verified(again, few=True).where("ok").select("later")).distinct()
+        gone = gone.unionByName(checked_pairs(again, few=True).where("ok").select("later")).distinct()
+    return gone
+
+
+def kept_lines(docs: DataFrame, similarity: float = 0.8, least: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Places of judged lines that stay, ``(id, row, line)``, and the numbers of lines of every document."""
+    t = Fraction(similarity).limit_denominator(1000)
+    lines = docs.select("id", "row", F.posexplode(F.split("text", "\n")).alias("line", "body"))
+    lines = lines.select("id", "row", "line", _ranked(_tokens(F.col("body")), _rarity(docs)).alias("v"))
+    keep = F.ceil(F.size("v") * F.lit(t.numerator) / F.lit(t.denominator)).cast("int")
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
+    bits = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x)))
+    prefix = F.transform(F.slice("v", 1, F.size("v") - keep + 1), lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
+    lines = lines.select("id", "row", "line", F.size("v").alias("n"), F.xxhash64("v").alias("set"), bits.alias("bits"), prefix.alias("prefix"))
+    lines = stored(lines, "lines")
+    totals = stored(lines.groupBy("id", "row").agg(F.count("*").alias("n_lines"), F.count_if(F.col("n") >= least).alias("n_judged")), "line-totals")
+
+    # One row for each token set, with its first place; classes are numbered in the order of places.
+    classes = lines.where(F.col("n") >= least).groupBy("set", "bits", "n")
+    classes = classes.agg(F.min(F.struct("id", "row", "line")).alias("place"), F.count("*").alias("rows"), F.first("prefix").alias("prefix"))
+    classes = stored(classes.sort("place").withColumn("c", F.monotonically_increasing_id()), "line-classes")
+    drop_stored(lines)
+
+    def verified(pairs: DataFrame, few: bool) -> DataFrame:
+        return _verified(docs, pairs, t, few)
+
+    gone = later_similar(classes, t, verified)
     stay = classes.select("c", "place").join(gone, F.col("c") == F.col("later"), "left_anti").select("place.*")
     return stay, totals
 
