@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -84,15 +85,17 @@ def _features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.
     return (mix(np.concatenate(slots)) >> np.uint64(49)).astype(np.int64), np.concatenate(owners)
 
 
-def _paragraphs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of a part, the first word of each line with words, and each line's document."""
+def _paragraphs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a part, the first word of each line with words, each line's document, and where runs of such lines begin."""
     starts, ends, first = words(data, offsets, ALNUM)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     line = np.append(0, np.cumsum(data == 10))[starts] if len(starts) else np.zeros(0, np.int64)
     new = np.ones(len(starts), bool)
     new[1:] = (line[1:] != line[:-1]) | (doc[1:] != doc[:-1])
     at = np.flatnonzero(new)
-    return starts, ends, np.append(at, len(starts)), doc[at]
+    run = np.ones(len(at), bool)
+    run[1:] = (line[at[1:]] != line[at[:-1]] + 1) | (doc[at[1:]] != doc[at[:-1]])
+    return starts, ends, np.append(at, len(starts)), doc[at], np.flatnonzero(run)
 
 
 @dataclass
@@ -208,6 +211,46 @@ def best_template(family: str, paragraph: bytes) -> float:
     return best
 
 
+_LONGEST = max(len(t) for ts in _TEMPLATE_WORDS.values() for t in ts)
+
+
+@cache
+def _vocabulary() -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the templates' words in order, and how often each stands in each template."""
+    templates = [t for ts in _TEMPLATE_WORDS.values() for t in ts]
+    data = np.frombuffer(b" ".join(w for t in templates for w in t), np.uint8)
+    starts, ends, _ = words(data, np.array([0, len(data)]), ALNUM)
+    known, at = np.unique(word_hashes(data, starts, ends), return_inverse=True)
+    times = np.zeros((len(known), len(templates)), np.float32)
+    np.add.at(times, (at, np.repeat(np.arange(len(templates)), [len(t) for t in templates])), 1)
+    return known, times
+
+
+def _wrapped(h: np.ndarray, first: np.ndarray, runs: np.ndarray, confirm: float) -> list[tuple[int, int]]:
+    """Windows of two and more lines, half open, in which a template may stand that is parted over lines.
+
+    Only runs that hold ``confirm`` of a template's words in any order are looked at, as nothing
+    else can be confirmed. From each of their lines a window goes on line by line until a template that
+    begins in the first line has ended.
+    """
+    known, times = _vocabulary()
+    ends = np.append(runs[1:], len(first) - 1)
+    many = np.flatnonzero(ends - runs > 1)
+    there = np.zeros((len(runs), len(known)), np.float32)
+    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+    hit = np.flatnonzero(known[at] == h)
+    there[np.searchsorted(first[runs], hit, "right") - 1, at[hit]] = 1
+    may = many[(there[many] @ times >= confirm * times.sum(0) - 1e-3).any(axis=1)] if len(many) else many
+    found = []
+    for k in may:
+        for s in range(runs[k], ends[k] - 1):
+            for e in range(s + 2, ends[k] + 1):
+                found.append((s, e))
+                if first[e] - first[s + 1] >= _LONGEST:
+                    break
+    return found
+
+
 def _no_licence(text: str, least: float = 0.6) -> bool:
     there = set(text.encode().translate(_BLANKED).split())
     close = [f for f in FAMILIES[1:] if any(sum(w in there for w in t) >= least * len(t) for t in _TEMPLATE_WORDS[f])]
@@ -226,7 +269,8 @@ def scan_licences(
 ) -> DataFrame:
     """Licence families named in each document.
 
-    Every line with a word is a paragraph. The classifier learns from the templates and from
+    Every line with a word is a paragraph, and so is what stands on several lines without an
+    empty one between. The classifier learns from the templates and from
     at most ``sample`` paragraphs of the corpus as the unknown class; it is then sent to all
     tasks and has one size. A paragraph belongs to its likeliest family if that is not
     unknown and has probability ``least``; it is confirmed if ``confirm`` of the words of one of the
@@ -234,7 +278,8 @@ def scan_licences(
 
     Returns ``(id_col, n_paragraphs, found)``, one row for each input row; ``found`` lists
     ``(paragraph, family, probability, similarity, confirmed)`` of the paragraphs with a
-    family, ``paragraph`` counted from 0 among lines with a word. Null and empty texts have no paragraphs.
+    family, ``paragraph`` counted from 0 among lines with a word. A notice wrapped over lines is listed at its
+    first line if it is confirmed and no line of it is by itself; ``n_paragraphs`` counts lines. Null and empty texts have no paragraphs.
     """
     texts = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(train(background(texts, "text", sample)))
@@ -245,7 +290,7 @@ def scan_licences(
         model = sent.value
         for batch, data, offsets in pieces(batches):
             low = LOWER[data]
-            starts, ends, first, doc = _paragraphs(low, offsets)
+            starts, ends, first, doc, runs = _paragraphs(low, offsets)
             chance = model.chances(*_features(low, starts, ends, first), len(doc)) if len(doc) else np.zeros((0, len(FAMILIES)))
             family = chance.argmax(axis=1)
             number = np.arange(len(doc)) - np.searchsorted(doc, doc)
@@ -254,8 +299,26 @@ def scan_licences(
             for k in np.flatnonzero((family > 0) & (chance.max(axis=1) >= least)):
                 share = best_template(FAMILIES[family[k]], raw[starts[first[k]] : ends[first[k + 1] - 1]])
                 found[doc[k]].append(
-                    {"paragraph": int(number[k]), "family": FAMILIES[family[k]], "probability": float(chance[k, family[k]]), "similarity": share, "confirmed": share >= confirm}
+                    {"paragraph": int(number[k]), "family": FAMILIES[family[k]], "probability": float(chance[k, family[k]]), "similarity": share, "confirmed": share >= confirm, "lines": 1}
                 )
+            windows = _wrapped(word_hashes(low, starts, ends), first, runs, confirm) if len(doc) else []
+            if windows:
+                each = np.concatenate([np.arange(first[s], first[e]) for s, e in windows])
+                begin = np.cumsum([0, *(first[e] - first[s] for s, e in windows)])
+                chance = model.chances(*_features(low, starts[each], ends[each], begin), len(windows))
+                family = chance.argmax(axis=1)
+            for k in np.flatnonzero((family > 0) & (chance.max(axis=1) >= least)) if windows else ():
+                (s, e), name = windows[k], FAMILIES[family[k]]
+                own = found[doc[s]]
+                if any(x["confirmed"] and x["family"] == name and x["paragraph"] < number[s] + e - s and x["paragraph"] + x["lines"] > number[s] for x in own):
+                    continue
+                share = best_template(name, raw[starts[first[s]] : ends[first[e] - 1]])
+                if share >= confirm:
+                    own.append({"paragraph": int(number[s]), "family": name, "probability": float(chance[k, family[k]]), "similarity": share, "confirmed": True, "lines": int(e - s)})
+            for own in found:
+                own.sort(key=lambda x: x["paragraph"])
+                for x in own:
+                    del x["lines"]
             shape = pa.struct([("paragraph", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64()), ("confirmed", pa.bool_())])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(np.bincount(doc, minlength=batch.num_rows), pa.int64()), pa.array(found, pa.list_(shape))],
