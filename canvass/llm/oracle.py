@@ -58,3 +58,17 @@ terms AS (SELECT f.lang, f.source, 'term' AS part, f.term AS item, p - q AS valu
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
 """
+
+LEXICAL_SEARCH = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOW}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS ws FROM documents),
+s AS (SELECT count(*)::BIGINT AS docs, sum(len(ws))::BIGINT AS words FROM d WHERE len(ws) > 0),
+q AS (SELECT item_id, unnest(regexp_extract_all({_LOW}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS term FROM benchmark),
+asked AS (SELECT item_id, term, count(*)::BIGINT AS times FROM q GROUP BY 1, 2),
+p AS (SELECT r, doc_id, len(ws)::BIGINT AS n, unnest(ws) AS term FROM d),
+t AS (SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM p WHERE term IN (SELECT term FROM asked) GROUP BY 1, 2, 3, 4),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM t, s GROUP BY term, docs),
+f AS (SELECT item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))))::BIGINT AS score
+      FROM t JOIN w USING (term) JOIN asked USING (term), s GROUP BY 1, 2, 3),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r) AS rank FROM f WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
