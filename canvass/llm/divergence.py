@@ -2,47 +2,135 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from canvass.llm.store import documents, drop_stored, stored
+from canvass.llm.arrays import LOWER, U64, mix, pieces, ranges, word_hashes, words
+from canvass.llm.store import documents, small_batches, stored
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Between terms: ASCII but for letters.
-BREAK = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+# Bytes of terms: ASCII letters, and everything beyond ASCII.
+LETTERS = np.zeros(256, bool)
+LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = True
 SCALE = 1_000_000_000
 PRIOR = 5
 
 
 def collapsed(named: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One row for each different text of a language, ``(lang, text, sources)``, and all ``(lang, source)`` groups.
+    """One row for each different text of a language, ``(lang, text, gs, ns)``, and all groups ``(lang, source, g)``.
 
-    ``sources`` says how many rows of each source have the text; it is no longer than the
-    language has sources. Copies are counted before any text is moved, then each task sends
-    a text once.
+    ``ns`` says how many rows of each source, by its number ``g`` in the language, have the text; the two are no longer
+    than the language has sources. Copies are counted before any text is moved, then each task sends a text once.
     """
     named = named.withColumn("digest", F.md5("text"))
     copies = stored(named.groupBy("lang", "digest", "source").agg(F.count("*").alias("n")), "audit-copies")
-    sources = copies.groupBy("lang", "digest").agg(F.collect_list(F.struct("source", "n")).alias("sources"))
+    number = F.row_number().over(W.partitionBy("lang").orderBy("source"))
+    groups = stored(copies.select("lang", "source").distinct().withColumn("g", number), "audit-sources")
+    sources = copies.join(groups, ["lang", "source"]).groupBy("lang", "digest").agg(F.collect_list(F.struct("g", "n")).alias("s"))
     texts = named.groupBy("lang", "digest").agg(F.first("text").alias("text"))
-    return texts.join(sources, ["lang", "digest"]).select("lang", "text", "sources"), copies.select("lang", "source").distinct()
-
+    return texts.join(sources, ["lang", "digest"]).select("lang", "text", F.col("s.g").alias("gs"), F.col("s.n").alias("ns")), groups
+
+
+class _Held:
+    """The terms of some megabytes of texts, summed up by language and term."""
+
+    def __init__(self) -> None:
+        self.langs: dict[str, int] = {}
+        self.hashes: list[np.ndarray] = []
+        self.text_of: list[np.ndarray] = []
+        self.strings: list[pa.Array] = []
+        self.lang_of: list[np.ndarray] = []
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.texts = self.bytes = 0
+
+    def add(self, batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> None:
+        low = LOWER[data]
+        starts, ends, first = words(low, offsets, LETTERS)
+        n = np.diff(first)
+        lang = np.array([self.langs.setdefault(x, len(self.langs)) for x in batch.column("lang").to_pylist()], np.int64)
+        # The same word of two languages is two terms.
+        salt = mix(lang.astype(U64) + U64(1))
+        self.hashes.append(mix(word_hashes(low, starts, ends) + np.repeat(salt, n)))
+        self.text_of.append(np.repeat(np.arange(self.texts, self.texts + len(n), dtype=np.int32), n))
+        # Words are every other one of the spans between all starts and ends.
+        cuts = np.empty(2 * len(starts), np.int32)
+        cuts[::2], cuts[1::2] = starts, ends
+        spans = pa.Array.from_buffers(pa.binary(), max(0, len(cuts) - 1), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(low))])
+        self.strings.append(spans)
+        self.lang_of.append(lang)
+        sizes = batch.column("gs").value_lengths().to_numpy(zero_copy_only=False)
+        self.parts.append((sizes, batch.column("gs").flatten().to_numpy(), batch.column("ns").flatten().to_numpy()))
+        self.texts += len(n)
+        self.bytes += len(data)
+
+    def summed(self) -> pa.RecordBatch:
+        h, text = np.concatenate(self.hashes), np.concatenate(self.text_of)
+        sizes, g, n = (np.concatenate(x).astype(np.int64) for x in zip(*self.parts))
+        to = np.append(0, np.cumsum(sizes))
+        copies = np.add.reduceat(n, to[:-1]) if len(n) else n
+        order = np.lexsort((text, h))
+        h, text = h[order], text[order]
+        new_term = np.append(True, h[1:] != h[:-1])[: len(h)]
+        new_pair = np.append(True, new_term[1:] | (text[1:] != text[:-1]))[: len(h)]
+        at = np.flatnonzero(new_pair)
+        tf = np.diff(np.append(at, len(h)))
+        term, text = (np.cumsum(new_term) - 1)[at], text[at]
+        n_terms = int(new_term.sum())
+        docs = np.zeros(n_terms, np.int64)
+        np.add.at(docs, term, copies[text])
+        # A text counts for every source that has it.
+        each, owner = ranges(to[text], to[text + 1] - 1)
+        key = term[owner] << 32 | g[each]
+        count = tf[owner] * n[each]
+        order = np.argsort(key, kind="stable")
+        key, count = key[order], count[order]
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+        count = np.add.reduceat(count, begin) if len(begin) else count
+        key = key[begin]
+        lists = np.append(0, np.cumsum(np.bincount(key >> 32, minlength=n_terms))).astype(np.int32)
+        gs = pa.ListArray.from_arrays(pa.array(lists), pa.array((key & 0xFFFFFFFF).astype(np.int32)))
+        ns = pa.ListArray.from_arrays(pa.array(lists), pa.array(count))
+        return pa.RecordBatch.from_arrays([*self._names(h, new_term), pa.array(docs), gs, ns], names=["lang", "term", "docs", "gs", "ns"])
+
+    def _names(self, h: np.ndarray, new_term: np.ndarray) -> list[pa.Array]:
+        """Language and spelling of every different term, from one place where it stands."""
+        known = h[new_term]
+        place = np.zeros(len(known), np.int64)
+        place[np.searchsorted(known, np.concatenate(self.hashes))] = np.arange(len(h))
+        first = np.append(0, np.cumsum([len(x) for x in self.hashes]))
+        part = np.searchsorted(first, place, "right") - 1
+        order = np.argsort(part, kind="stable")
+        to = np.searchsorted(part[order], np.arange(len(self.hashes) + 1))
+        found = [self.strings[k].take(pa.array(2 * (place[order[to[k] : to[k + 1]]] - first[k]))) for k in range(len(self.hashes)) if to[k + 1] > to[k]]
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        spelled = pa.concat_arrays(found).take(pa.array(back)) if found else pa.array([], pa.binary())
+        lang = np.concatenate(self.lang_of)[np.concatenate(self.text_of)[place]]
+        return [pa.array(list(self.langs), pa.string()).take(pa.array(lang)), spelled.cast(pa.string())]
+
+
+def term_counts(texts: DataFrame, at_once: int = 1 << 24) -> DataFrame:
+    """``(lang, term, docs, gs, ns)``: documents with the term and its occurrences by source.
+
+    Each different text is cut into terms once, and every term weighed by the copies of the text. One row for a term
+    and about ``at_once`` bytes of texts of a task: rows of one term must still be added.
+    """
 
-def term_counts(texts: DataFrame) -> DataFrame:
-    """``(lang, source, term, n)``: occurrences in each source; with a null source, documents of the language.
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Held()
+        for batch, data, offsets in pieces(batches):
+            held.add(batch, data, offsets)
+            if held.bytes >= at_once:
+                yield held.summed()
+                held = _Held()
+        if held.texts:
+            yield held.summed()
 
-    A text is cut into terms once. The row of terms is then read once for each of its sources, and
-    its different terms once for the language, each time with the number of copies as weight.
-    """
-    terms = F.array_remove(F.split(F.translate("text", UPPER, LOWER), BREAK), "")
-    every = F.aggregate("sources", F.lit(0).cast("long"), lambda a, x: a + x["n"])
-    of_lang = F.array(F.struct(F.lit(None).cast("string").alias("source"), every.alias("n")))
-    rows = texts.select("lang", terms.alias("terms"), F.concat(of_lang, F.col("sources")).alias("s"))
-    rows = rows.select("lang", "terms", F.explode_outer("s").alias("s"))
-    own = F.when(F.col("s.source").isNull(), F.array_distinct("terms")).otherwise(F.col("terms"))
-    rows = rows.select("lang", "s.source", "s.n", F.explode_outer(own).alias("term")).where("term is not null")
-    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(rows, "lang string, term string, docs long, gs array<int>, ns array<long>")
 
 
 def _share(n: str, total: str = "total", terms: str = "v") -> Column:
@@ -95,18 +183,19 @@ def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
     row. Other columns are not read. Returns ``(lang, source, part, item, value, rank)``.
     """
     named = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
-    texts, occurring = collapsed(named)
-    counts = stored(term_counts(texts), "audit-terms")
-    kept = counts.where(F.col("source").isNull() & (F.col("n") >= least_docs)).select("lang", "term")
-    own = stored(counts.where("source is not null").join(kept, ["lang", "term"]).select("lang", "source", "term", "n"), "audit-kept")
+    texts, occurring = collapsed(small_batches(named))
+    every = F.sum("docs").over(W.partitionBy("lang", "term"))
+    counts = term_counts(texts).withColumn("every", every).where(F.col("every") >= least_docs)
+    counts = counts.select("lang", "term", F.explode(F.arrays_zip("gs", "ns")).alias("x")).groupBy("lang", "term", F.col("x.gs").alias("g")).agg(F.sum("x.ns").alias("n"))
+    own = stored(counts.join(occurring, ["lang", "g"]).select("lang", "source", "term", "n"), "audit-kept")
 
+    kept = own.select("lang", "term").distinct()
     v = kept.groupBy("lang").agg(F.count("*").alias("v"))
     totals = own.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     zero = F.lit(0).cast("long")
-    groups = occurring.join(totals, ["lang", "source"], "left").join(v, "lang", "left")
+    groups = occurring.drop("g").join(totals, ["lang", "source"], "left").join(v, "lang", "left")
     groups = groups.select("lang", "source", F.coalesce("total", zero).alias("total"), F.coalesce("v", zero).alias("v"))
     groups = stored(groups.withColumn("p0", _share("0")), "audit-groups")
-    drop_stored(counts)
 
     own = own.join(groups, ["lang", "source"]).withColumn("p", _share("n"))
     of_lang = groups.groupBy("lang").agg(F.sum("total").alias("lang_total"))
