@@ -351,7 +351,7 @@ def test_pages(spark, results):
     for i, url, page in duckdb.sql(f"SELECT page_id, url, html FROM '{SF_DIR}/pages.parquet'").fetchall():
         inner = re.search("<article>(.*?)</article>", page, re.S)[1]
         lines = re.sub("<[^>]*>", "", re.sub(r"</?(?:p|h1|br)\b[^>]*>", "\n", inner)).split("\n")
-        text = "\n".join(x for x in (re.sub(r"\s+", " ", html.unescape(line)).strip() for line in lines) if x)
+        text = "\n\n".join(x for x in (re.sub(r"\s+", " ", html.unescape(line)).strip() for line in lines) if x)
         assert (rows[i].url, rows[i].text, rows[i].n_chars) == (url, text, len(text))
 
 
@@ -368,7 +368,7 @@ def test_odd_pages(spark):
     rows = [(k, "https://a.example/x", page(body.replace("{k}", str(k)))) for k in range(3)]
     rows += [(7, None, page("<p>bare</p>")), (8, "odd", None), (9, "https://b.example/", ""), (9, "https://b.example/", ""), (10, "https://c.example/", "<p>a < b <i>c</i><!-- x"), (11, "https://d.example/", "plain &eacute;")]
     found = Counter((r.page_id, r.text) for r in extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
-    want = Counter({(k, f"Big & small {k}\nFirst text {k} <b>\nSecond bold text that goes on {k}\none\ntwo\ncell {k}"): 1 for k in range(3)})
+    want = Counter({(k, f"Big & small {k}\n\nFirst text {k} <b>\n\nSecond bold text that goes on {k}\n\none\n\ntwo\n\ncell {k}"): 1 for k in range(3)})
     want.update({(7, "bare"): 1, (8, ""): 1, (9, ""): 2, (10, "a < b c"): 1, (11, "plain é"): 1})
     assert found == want
 
