@@ -7,12 +7,14 @@ partial results.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canvass.functions.columns import ColumnLike, as_column, compute_once
+from canvass.functions.columns import ColumnLike, as_column
 from canvass.operators.reshape import listed
+from canvass.session import cut_lineage
 
 
 def count_by(df: DataFrame, *keys: str, out: str = "n") -> DataFrame:
@@ -73,67 +75,97 @@ def one_way(df: DataFrame, column: str, *, keep_null: bool = False) -> DataFrame
     return count_by(data, column)
 
 
-def describe_number(df: DataFrame, column: str, *, accuracy: int = 100_000) -> DataFrame:
+FEW_VALUES = 20_000
+
+
+def _value_at(data: DataFrame, ranks: Sequence[int], n: int, accuracy: int) -> dict[int, float]:
+    """The values at some ranks (from 1) of all ``n`` values of ``x`` in ``data``, exactly.
+
+    Each rank has an open interval that its value is in. One pass over the data takes approximate quantiles of all intervals;
+    the next counts the rows below, at and between the two ends that these give, so that an interval shrinks to a
+    small share of its rows or its value is found. Intervals of few rows are read whole. No rows are ordered, and what
+    reaches the driver is bounded by ``FEW_VALUES`` for each rank.
+    """
+    x = F.col("x")
+    found: dict[int, float] = {}
+    # of each rank: rows up to the interval, rows in it, and its ends (None: open)
+    state: dict[int, tuple[int, int, float | None, float | None]] = {r: (0, n, None, None) for r in set(ranks)}
+
+    def inside(low: float | None, high: float | None) -> Column:
+        above = F.lit(True) if low is None else x > F.lit(low)
+        return above & (F.lit(True) if high is None else x < F.lit(high))
+
+    while state:
+        few = {r: s for r, s in state.items() if s[1] <= FEW_VALUES}
+        if few:
+            any_of_them = reduce(lambda a, b: a | b, [inside(*s[2:]) for s in few.values()])
+            counted = sorted((v, c) for v, c in data.filter(any_of_them).groupBy("x").count().collect())
+            for r, (before, _, low, high) in few.items():
+                left = r - before
+                for v, c in counted:
+                    if (low is None or v > low) and (high is None or v < high):
+                        left -= c
+                        if left <= 0:
+                            found[r] = v
+                            break
+            state = {r: s for r, s in state.items() if r not in few}
+            continue
+        band = 4.0 / accuracy
+        asked = {r: [min(max((r - before) / size + d, 0.0), 1.0) for d in (-band, band)] for r, (before, size, *_ ) in state.items()}
+        said = data.agg(*[F.percentile_approx(F.when(inside(*s[2:]), x), asked[r], accuracy).alias(f"q{r}") for r, s in state.items()]).collect()[0]
+        ends = {r: said[f"q{r}"] for r in state}
+        counts = data.agg(
+            *[
+                F.count_if(inside(*state[r][2:]) & c).alias(f"{name}{r}")
+                for r, (a, b) in ends.items()
+                for name, c in (("below", x < F.lit(a)), ("a", x == F.lit(a)), ("between", (x > F.lit(a)) & (x < F.lit(b))), ("b", x == F.lit(b)))
+            ]
+        ).collect()[0]
+        after = {}
+        for r, (a, b) in ends.items():
+            before, size, low, high = state[r]
+            below, at_a, between = (before + counts[f"below{r}"], counts[f"a{r}"], counts[f"between{r}"])
+            if r <= below:
+                after[r] = (before, counts[f"below{r}"], low, a)
+            elif r <= below + at_a:
+                found[r] = a
+            elif r <= below + at_a + between:
+                after[r] = (below + at_a, between, a, b)
+            elif a != b and r <= below + at_a + between + counts[f"b{r}"]:
+                found[r] = b
+            else:
+                seen = below + at_a + between + (counts[f"b{r}"] if a != b else 0)
+                after[r] = (seen, before + size - seen, b, high)
+        state = after
+    return found
+
+
+def describe_number(df: DataFrame, column: str, *, accuracy: int = 10_000) -> DataFrame:
     """Minimum, exact quartiles, mean, maximum and NULL count of one column, in one row.
 
-    Quartiles are exact without sorting the table. A first pass finds, besides the simple
-    figures, an interval sure to hold each quartile (one row, read by the driver). A second
-    pass counts the rows below each interval and orders only the distinct values inside.
+    Quartiles are exact, and no task orders a share of the table: see :func:`_value_at`. The column is written once; the
+    passes read that. Not a number counts as greater than all numbers.
     """
-    data = compute_once(df, {"x": as_column(column).cast("double")}).select("x")
+    data = df.select(as_column(column).cast("double").alias("x"))
+    data = cut_lineage(data, "numbers")
     quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    band = 4.0 / accuracy  # the approximation is off by at most 1 / accuracy in rank
-    ends = [min(max(q + d, 0.0), 1.0) for q in quartiles.values() for d in (-band, band)]
     basics = data.agg(
         F.count("x").alias("n"),
         F.min("x").alias("minimum"),
         F.avg("x").alias("mean"),
         F.max("x").alias("maximum"),
         F.count_if(F.col("x").isNull()).alias("nulls"),
-        F.percentile_approx("x", ends, accuracy).alias("ends"),
     ).collect()[0]
     n = basics["n"]
-    figures = [
-        F.lit(basics[c]).cast(kind).alias(c)
-        for c, kind in (("minimum", "double"), ("mean", "double"), ("maximum", "double"), ("nulls", "bigint"))
-    ]
-    if n == 0:
-        empty = [F.lit(None).cast("double").alias(q) for q in quartiles]
-        return df.sparkSession.range(1).select(*figures, *empty)
-
-    # with fewer rows than the accuracy every distinct value is taken in
-    intervals = [
-        (basics["minimum"], basics["maximum"])
-        if n < accuracy
-        else (basics["ends"][2 * i], basics["ends"][2 * i + 1])
-        for i in range(len(quartiles))
-    ]
-    marks = [
-        F.when(F.col("x") < low, F.struct(F.lit(i).alias("i"), F.lit(None).cast("double").alias("v")))
-        .when(F.col("x") <= high, F.struct(F.lit(i).alias("i"), F.col("x").alias("v")))
-        for i, (low, high) in enumerate(intervals)
-    ]
-    counts = (
-        data.select(F.explode(F.array_compact(F.array(*marks))).alias("m"))
-        .groupBy(F.col("m.i").alias("i"), F.col("m.v").alias("v"))
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    # rows below the interval have no value and come first
-    up_to = Window.partitionBy("i").orderBy(F.col("v").asc_nulls_first())
-    ranked = counts.withColumn("last", F.sum("c").over(up_to))
-
-    def value_at(i: int, rank: int) -> Column:
-        holds = (F.col("i") == i) & (F.col("last") >= rank) & (F.col("last") - F.col("c") < rank)
-        return F.max(F.when(holds, F.col("v")))
-
-    picked = []
-    for i, (name, q) in enumerate(quartiles.items()):
-        position = q * (n - 1)
-        rank = int(position) + 1
-        weight = position - int(position)
-        low, high = value_at(i, rank), value_at(i, min(rank + 1, n))
-        picked.append((low + (high - low) * weight).alias(name))
-    return ranked.agg(*picked).select(*quartiles, *figures)
+    places = {name: q * (n - 1) for name, q in quartiles.items()}
+    ranks = [r for p in places.values() for r in (int(p) + 1, min(int(p) + 2, n))] if n else []
+    values = _value_at(data.filter("x is not null"), ranks, n, accuracy)
+    figures = {c: basics[c] for c in ("minimum", "mean", "maximum", "nulls")}
+    for name, p in places.items():
+        low, high = (values[int(p) + 1], values[min(int(p) + 2, n)]) if n else (None, None)
+        figures[name] = None if low is None else low if low == high else low + (high - low) * (p - int(p))
+    kinds = {c: "bigint" if c == "nulls" else "double" for c in figures}
+    return df.sparkSession.range(1).select(*[F.lit(figures[c]).cast(kinds[c]).alias(c) for c in (*quartiles, "minimum", "mean", "maximum", "nulls")])
 
 
 def describe_number_approx(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:

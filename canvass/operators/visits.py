@@ -10,13 +10,8 @@ from pyspark.sql import functions as F
 from canvass.functions.columns import as_column
 from canvass.functions.numbers import flag
 from canvass.functions.rules import first_match
-from canvass.operators.grouping import (
-    HOT_ROWS,
-    attach_groups,
-    group_figures,
-    hot_groups,
-    keep_groups,
-)
+from canvass.operators.grouping import HOT_ROWS, attach_groups, keep_groups, small_copy
+from canvass.session import cut_lineage
 
 # Texts of the history alert.
 REVISIT_AFTER_CLOSE = "⚠️ REVISITAR TRAS CIERRE"
@@ -94,6 +89,30 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
+SAMPLE_ROWS = 1 << 16
+PIECE_SAMPLE = 128
+
+
+def _pieces(df: DataFrame, unit: str, order: Column, spread: Column, hot_rows: int, piece_sample: int) -> DataFrame | None:
+    """Where to cut the units that hold a large share of all rows: ``(unit, splits)``, None if no unit does.
+
+    ``SAMPLE_ROWS`` rows with the least hashes of their keys reach the driver, whatever the size of the table. How
+    small these hashes are tells how many rows there are in all. A unit is hot that has at least ``piece_sample`` rows of the sample
+    and about ``hot_rows`` in all; every ``piece_sample``-th of its sampled rows, in order, begins a new piece. The
+    splits of a unit stand in rows of 16, so that a place is found by looking at a few.
+    """
+    sample = df.select(as_column(unit).alias("unit"), order.alias("at"), spread.alias("h")).orderBy("h").limit(SAMPLE_ROWS)
+    sample = small_copy(sample, SAMPLE_ROWS)
+    n, last = sample.agg(F.count(F.lit(1)), F.max("h")).first()
+    times = 1.0 if n < SAMPLE_ROWS else 2.0**64 / (last + 2.0**63 + 1)
+    hot = sample.groupBy("unit").agg(F.sort_array(F.collect_list("at")).alias("at"))
+    hot = hot.filter(F.size("at") >= max(piece_sample, hot_rows / times))
+    every = F.filter("at", lambda x, i: (i > 0) & (i % piece_sample == 0))
+    rows = F.transform(F.sequence(F.lit(0), F.floor((F.size("splits") - 1) / 16).cast("int")), lambda k: F.slice("splits", k * 16 + 1, 16))
+    splits = hot.select("unit", every.alias("splits")).filter(F.size("splits") > 0).select("unit", rows.alias("splits"))
+    return small_copy(splits, SAMPLE_ROWS // piece_sample)
+
+
 def number_attempts(
     df: DataFrame,
     unit: str,
@@ -101,43 +120,41 @@ def number_attempts(
     key: str,
     *,
     out: str = "attempt",
-    slice_by: Column | None = None,
     hot_rows: int = HOT_ROWS,
+    piece_sample: int = PIECE_SAMPLE,
 ) -> DataFrame:
-    """Number the visits of each unit in time order.
+    """Number the visits of each unit in time order; visits without a time come last, ties go by ``key``.
 
-    A unit holding a large share of all visits is cut into time slices (hours unless
-    ``slice_by`` gives another expression that never decreases with time). Its rows are
-    numbered inside a slice and shifted by the number of earlier rows, which comes from a
-    table of slice counts of such units only; so it is sorted by many tasks. Other units
-    are numbered whole.
+    A unit that holds a large share of all visits is cut at visits of a sample of fixed size, by time and key alike, so
+    also where all its visits have no time or the same one. Its pieces are ordered by many tasks, the numbered rows
+    are written once, and each piece is shifted by the rows of those before it; there are at most 512 pieces in all.
+    Other units are numbered whole. The input is read for the sample and for the result.
     """
-    at = as_column(time)
-    groups = group_figures(df, [unit], {})
-    _, parts = hot_groups(groups, [unit], hot_rows)
-    is_hot = parts.isNotNull()
-    piece = F.date_trunc("hour", at) if slice_by is None else slice_by
-    # one non-null struct key: NULL units stay together, and the join below finds the rows
-    # already distributed by it
-    sliced = df.withColumn("__hot", is_hot).withColumn(
-        "__key", F.struct(as_column(unit).alias("u"), F.when(F.col("__hot"), piece).alias("s"))
-    )
-    counts = sliced.filter("__hot").groupBy("__key").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy("__key.u").orderBy(F.col("__key.s").asc_nulls_last())
-    earlier = counts.select(
-        F.col("__key").alias("__slice"),
-        F.coalesce(
-            F.sum("__n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("__earlier"),
-    )
-    inside = Window.partitionBy("__key").orderBy(
-        at.asc_nulls_last(), as_column(key).asc_nulls_last()
-    )
-    numbered = sliced.withColumn("__rn", F.row_number().over(inside))
-    joined = numbered.join(earlier, F.col("__key") == F.col("__slice"), "left")
-    return joined.withColumn(out, F.col("__rn") + F.coalesce("__earlier", F.lit(0))).drop(
-        "__rn", "__key", "__hot", "__slice", "__earlier"
-    )
+    at, row = as_column(time), as_column(key)
+    order = F.struct(at.isNull().alias("u"), at.alias("t"), row.isNull().alias("n"), row.alias("k"))
+    by_time = [at.asc_nulls_last(), row.asc_nulls_last()]
+    splits = _pieces(df, unit, order, F.xxhash64(row), hot_rows, piece_sample)
+    if splits is None or splits.isEmpty():
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(unit).orderBy(*by_time)))
+
+    # One value for all rows; NULL units are a unit, too.
+    every = splits.agg(F.map_from_entries(F.collect_list(F.struct(F.struct("unit"), "splits")))).scalar()
+    df_columns = df.columns
+    df = df.withColumn("__own", F.try_element_at(every, F.struct(as_column(unit).alias("unit"))))
+    own = F.col("__own")
+    upto = lambda splits: F.size(F.filter(splits, lambda s: s <= order))
+    line = F.greatest(F.size(F.filter(own, lambda s: F.get(s, F.lit(0)) <= order)) - 1, F.lit(0))
+    piece = F.when(own.isNotNull(), line * 16 + upto(F.get(own, line))).otherwise(0)
+    inside = Window.partitionBy(unit, "__piece").orderBy(*by_time)
+    hot = df.withColumns({"__piece": piece, "__hot": own.isNotNull()}).drop("__own").withColumn("__rn", F.row_number().over(inside))
+    hot = cut_lineage(hot, "attempts")
+    counts = hot.filter("__hot").groupBy(as_column(unit).alias("__unit"), F.col("__piece").alias("__before")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("__unit").orderBy("__before").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = counts.select("__unit", "__before", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__earlier"))
+    same = as_column(unit).eqNullSafe(F.col("__unit")) & (F.col("__piece") == F.col("__before"))
+    joined = hot.join(F.broadcast(earlier), same, "left")
+    number = (F.col("__rn") + F.coalesce("__earlier", F.lit(0))).cast("bigint")
+    return joined.withColumn(out, number).select(*df_columns, out)
 
 
 def closure_history(

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from canvass.catalog import QUERIES
-from canvass.operators import duplicates, grouping, outliers, visits
+from canvass.operators import duplicates, grouping, outliers, summaries, visits
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -60,10 +60,45 @@ def test_attempts_match_a_plain_sort(skewed, by_unit):
     for hot_rows in (0, grouping.HOT_ROWS):
         out = visits.number_attempts(skewed, "unit", "ts", "key", hot_rows=hot_rows)
         assert {r["key"]: r["attempt"] for r in out.collect()} == want
-    monthly = visits.number_attempts(
-        skewed, "unit", "ts", "key", slice_by=F.date_trunc("month", "ts"), hot_rows=0
-    )
-    assert {r["key"]: r["attempt"] for r in monthly.collect()} == want
+
+
+def test_a_hot_unit_without_times_is_numbered_by_many_tasks(spark):
+    """Half of all rows are one unit, most of them without a time, the others within one hour."""
+    start = datetime(2026, 1, 1, 12)
+    rows = [(f"k{i * 7919 % 5000:04d}", "hot" if i % 2 else None if i % 10 == 0 else f"u{i % 40}", None if i % 3 else start + timedelta(seconds=i % 900)) for i in range(5000)]
+    df = spark.createDataFrame(rows, "key string, unit string, ts timestamp").repartition(7)
+    want, units = {}, defaultdict(list)
+    for key, unit, ts in rows:
+        units[unit].append((ts is None, ts or start, key))
+    for own in units.values():
+        want.update({key: n for n, (_, _, key) in enumerate(sorted(own), 1)})
+    out = visits.number_attempts(df, "unit", "ts", "key", hot_rows=1000, piece_sample=50)
+    assert {r["key"]: r["attempt"] for r in out.collect()} == want
+    pieces = visits._pieces(df, "unit", F.struct(F.col("ts").isNull().alias("u"), "ts", F.lit(False).alias("n"), "key"), F.xxhash64("key"), 1000, 50).collect()
+    assert [(r["unit"], sum(map(len, r["splits"]))) for r in pieces] == [("hot", 49)]
+    # A table without a hot unit is numbered in one pass.
+    assert "__piece" not in visits.number_attempts(df, "unit", "ts", "key")._jdf.queryExecution().toString()
+
+
+def test_quartiles_of_any_shape_are_exact(spark):
+    import numpy as np
+
+    chance = np.random.default_rng(2)
+    shapes = [
+        chance.normal(size=30_000) ** 5,
+        np.repeat([0.0, 1.0], [22_500, 7_500]),
+        np.append(np.repeat(5.0, 29_000), np.arange(1000) / 7),
+        np.exp(chance.normal(size=30_001) * 40),
+        np.array([3.0]),
+        np.array([2.0, 1.0]),
+    ]
+    for values in shapes:
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)] * 3, "x double").repartition(5)
+        got = summaries.describe_number(df, "x", accuracy=100).collect()[0]
+        want = np.percentile(values, [25, 50, 75])
+        assert [got["q1"], got["median"], got["q3"]] == pytest.approx(want.tolist(), rel=1e-12)
+        assert (got["minimum"], got["maximum"], got["nulls"]) == (values.min(), values.max(), 3)
+    assert summaries.describe_number(df.filter("x > 99"), "x").collect()[0]["median"] is None
 
 
 def test_closure_history_with_salted_hot_units(skewed, by_unit):
