@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from canvass.catalog.registry import query, table
 from canvass.catalog.texts import squish_sql
 from canvass.operators import duplicates, formlogic, outliers
+from canvass.operators.grouping import literal_table
 from canvass.operators.formlogic import FormRule
+from canvass.session import cut_lineage
+from canvass.sources.tables import form_rules, with_groups
 
 # ---- durations ---------------------------------------------------------------------
 
@@ -256,19 +259,15 @@ _FORM = """f AS (
       SELECT c_custkey AS id, nullif(c_mktsegment, 'MACHINERY') AS segment,
              CASE WHEN c_custkey % 9 <> 0 THEN c_acctbal END AS balance, n AS orders,
              CASE WHEN c_nationkey % 6 <> 0 THEN c_nationkey END AS nation
-      FROM customer LEFT JOIN (SELECT o_custkey, CAST(count(*) AS BIGINT) AS n FROM orders
-                               WHERE o_orderstatus = 'P' GROUP BY 1) ON c_custkey = o_custkey)"""
+      FROM customer LEFT JOIN (SELECT CASE WHEN o_custkey % 4 <> 0 THEN o_custkey END AS k, CAST(count(*) AS BIGINT) AS n
+                               FROM orders GROUP BY 1) ON c_custkey = k)"""
 
 
 def form_answers(spark, sf_dir):
-    orders = (
-        table(spark, sf_dir, "orders")
-        .filter("o_orderstatus = 'P'")
-        .groupBy("o_custkey")
-        .agg(F.count(F.lit(1)).alias("orders"))
-    )
+    known = F.when(F.col("o_custkey") % 4 != 0, F.col("o_custkey"))
+    orders = table(spark, sf_dir, "orders").groupBy(known.alias("k")).agg(F.count(F.lit(1)).alias("orders"))
     customers = table(spark, sf_dir, "customer")
-    joined = customers.join(orders, customers.c_custkey == orders.o_custkey, "left")
+    joined = customers.join(orders, customers.c_custkey == orders.k, "left")
     return joined.select(
         F.col("c_custkey").alias("id"),
         F.nullif(F.col("c_mktsegment"), F.lit("MACHINERY")).alias("segment"),
@@ -299,6 +298,63 @@ def missing_flags(spark, sf_dir):
     return out.select("id", "m_segment", "m_balance", "m_nation", "total_missing")
 
 
+# The same form in its own words: a question inside groups whose conditions count as well.
+FORM_ROWS = [
+    ("all", None, None, None, None, 1),
+    ("person", None, "yes", None, "all", 2),
+    ("place", None, None, "${balance} > 0", "all", 3),
+    ("segment", "Segment", None, "${nation} < 10", "person", 4),
+    ("balance", "Balance", None, None, "person", 5),
+    ("orders", "Orders", "no", "${segment} = 'BUILDING' or selected(${segment}, 'FURNITURE')", "all", 6),
+    ("nation", "Nation", "yes", "not(${segment} = 'AUTOMOBILE')", "place", 7),
+]
+
+
+@query(
+    "form_conditions",
+    f"""WITH {_FORM} SELECT id,
+      CAST(coalesce(nation < 10, FALSE) AND segment IS NULL AS INT) AS m_segment,
+      CAST(balance IS NULL AS INT) AS m_balance,
+      CAST(coalesce(balance > 0, FALSE) AND coalesce(segment <> 'AUTOMOBILE', TRUE) AND nation IS NULL AS INT) AS m_nation,
+      CAST(NOT coalesce(nation < 10, FALSE) AND segment IS NOT NULL AS INT) AS s_segment,
+      CAST(NOT coalesce(segment IN ('BUILDING', 'FURNITURE'), FALSE) AND orders IS NOT NULL AS INT) AS s_orders,
+      CAST(NOT (coalesce(balance > 0, FALSE) AND coalesce(segment <> 'AUTOMOBILE', TRUE)) AND nation IS NOT NULL AS INT) AS s_nation FROM f""",
+)
+def form_conditions(spark, sf_dir):
+    """Missing and skipped answers by the form's own conditions and its groups."""
+    form = literal_table(spark, FORM_ROWS, "variable string,label string,required string,relevant string,group string,position int")
+    answers = form_answers(spark, sf_dir)
+    rules = form_rules(form, answers.columns)
+    out = formlogic.flag_skips(formlogic.flag_missing(answers, rules), rules)
+    return out.select("id", "m_segment", "m_balance", "m_nation", "s_segment", "s_orders", "s_nation")
+
+
+@query(
+    "required_groups",
+    """WITH RECURSIVE form AS (
+      SELECT 'r' || r_regionkey AS variable, NULL AS parent, r_regionkey % 2 = 0 AS required, CASE WHEN r_regionkey <> 1 THEN 'region ' || r_name END AS relevant FROM region
+      UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, n_nationkey % 7 = 0, CASE WHEN n_nationkey % 3 = 0 THEN 'nation ' || n_name END FROM nation
+      UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey, c_custkey % 5 = 0, CASE WHEN c_custkey % 2 = 0 THEN 'customer ' || c_mktsegment END FROM customer
+      UNION ALL SELECT 'o' || o_orderkey, 'c' || o_custkey, FALSE, 'order ' || o_orderstatus FROM orders),
+    up AS (
+      SELECT variable, parent, required, CASE WHEN relevant IS NULL THEN [] ELSE [relevant] END AS said FROM form
+      UNION ALL SELECT up.variable, form.parent, up.required OR form.required, CASE WHEN form.relevant IS NULL THEN said ELSE list_concat([form.relevant], said) END
+      FROM up JOIN form ON up.parent = form.variable)
+    SELECT variable, required, array_to_string(said, ' and ') AS relevant FROM up WHERE parent IS NULL""",
+)
+def required_groups(spark, sf_dir):
+    """Orders in customers, nations and regions as questions in three nested groups."""
+    def level(name: str, variable: str, parent: str, required: str, relevant: str):
+        return table(spark, sf_dir, name).selectExpr(f"{variable} as variable", f"{parent} as group", f"{required} as required", f"{relevant} as relevant")
+
+    form = level("region", "'r' || r_regionkey", "cast(null as string)", "r_regionkey % 2 = 0", "case when r_regionkey <> 1 then 'region ' || r_name end")
+    form = form.unionByName(level("nation", "'n' || n_nationkey", "'r' || n_regionkey", "n_nationkey % 7 = 0", "case when n_nationkey % 3 = 0 then 'nation ' || n_name end"))
+    form = form.unionByName(level("customer", "'c' || c_custkey", "'n' || c_nationkey", "c_custkey % 5 = 0", "case when c_custkey % 2 = 0 then 'customer ' || c_mktsegment end"))
+    form = form.unionByName(level("orders", "'o' || o_orderkey", "'c' || o_custkey", "false", "'order ' || o_orderstatus"))
+    out = with_groups(form, relevant="relevant")
+    return out.select("variable", "required", F.array_join("relevant", " and ").alias("relevant"))
+
+
 @query(
     "skip_flags",
     f"""WITH {_SKIPS} SELECT id, s_segment, s_balance, s_orders, 0 AS s_nation,
@@ -401,5 +457,6 @@ def document_duplicates(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", F.when(identity == "", "").otherwise(F.sha2(identity, 256)).alias("identity")
     )
+    docs = cut_lineage(docs, "identities")  # texts are read and folded once, not for the counts and the join
     out = duplicates.flag_duplicates(docs, "identity", "doc_id")
     return out.select("doc_id", "duplicate")

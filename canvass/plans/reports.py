@@ -296,7 +296,7 @@ def agent_block_targets(cases: DataFrame, enumerators: DataFrame) -> DataFrame:
     """
     left = cases.withColumn("__enumerator", trim_all(as_column("enumerators").cast("string")))
     right = enumerators.select(
-        as_column("id").alias("__id"), as_column("users").alias("__account"),
+        trim_all(as_column("id").cast("string")).alias("__id"), trim_all(as_column("users").cast("string")).alias("__account"),
         as_column("name").alias("block"),
     )
     joined = left.join(right, F.col("__enumerator") == F.col("__id")).filter(
