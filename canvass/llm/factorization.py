@@ -150,10 +150,9 @@ def _held_out(id_: Column) -> Column:
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(labelled: DataFrame, metadata: Sequence[str], sample: int) -> Machine:
-    """A machine from at most ``sample`` different texts of ``(text, good, metadata)``, those with the least hashes."""
-    part = labelled.select("text", "good", *metadata, F.xxhash64("text").alias("h")).dropDuplicates(["h", "good"])
-    part = stored(part.orderBy("h", "good").limit(sample), "quality-sample")
+def train(labelled: DataFrame, metadata: Sequence[str]) -> Machine:
+    """A machine from the different texts of a bounded sample ``(text, good, metadata)``."""
+    part = stored(labelled.select("text", "good", *metadata, F.xxhash64("text").alias("h")).dropDuplicates(["h", "good"]), "quality-sample")
     read: list[tuple[Features, np.ndarray]] = []
     table = small_batches(part.orderBy("h", "good")).select("text", "good", *metadata).toArrow()
     for batch, x in _read(iter(table.to_batches(max_chunksize=1000)), metadata):
@@ -168,15 +167,16 @@ def train(labelled: DataFrame, metadata: Sequence[str], sample: int) -> Machine:
 
 def quality_scores(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-    metadata: Sequence[str] = ("n_chars",), held_out: Column | None = None, sample: int = 6000, least: float = 0.7,
+    metadata: Sequence[str] = ("n_chars",), held_out: Column | None = None, sample: int = 8000, least: float = 0.7,
 ) -> DataFrame:
     """The probability that each text is of good quality, learnt from ``labels``.
 
     Inputs of a score are the different words of a text (A-Z in lower case, hashed to 65,536 slots, scaled to one), structure
     statistics in buckets (lines, repeats, symbols, letters, case) and the numbers of the ``metadata`` columns that ``docs`` has.
     Every pair of inputs interacts through eight factors. Labels of ``held_out`` rows (default: CRC-32 of the id as text
-    leaves 2 when divided by 4) are never read. The machine is fitted on at most ``sample`` different labelled texts, those with
-    the least hashes, whatever the size of the tables; it is then the same for all tasks, and every whole text is scored.
+    leaves 2 when divided by 4) are never read. The machine is fitted on the different texts of at most ``sample``
+    labels, those with the least hashes of their ids, whatever the size of the tables; these few are sent to where the texts
+    are. It is then the same for all tasks, and every whole text is scored.
 
     A null text is empty; empty texts, null ids and null metadata are scored like any other. Labelled rows with a null
     label, or an id that is not in ``docs``, are not used; without any the score is 0.5. Rows that are equal are scored alike. Returns
@@ -187,8 +187,10 @@ def quality_scores(
     numbers = [F.col(c).cast("double").alias(f"meta_{k}") for k, c in enumerate(meta)]
     names = [f"meta_{k}" for k in range(len(meta))]
     texts = small_batches(docs).select(F.col(id_col).alias("id"), held.alias("held"), F.col(text_col).alias("text"), *numbers)
-    told = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("good")).where(F.col("good").isin(0, 1)).distinct()
-    machine = train(texts.where("not held").join(told, "id"), names, sample)
+    told = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("good")).where(F.col("good").isin(0, 1) & F.col("id").isNotNull())
+    told = told.where(~_held_out(F.col("id"))) if held_out is None else told
+    told = told.distinct().orderBy(F.xxhash64("id"), "id", "good").limit(sample)
+    machine = train(texts.where("not held").join(F.broadcast(told), "id"), names)
     sent = docs.sparkSession.sparkContext.broadcast(machine)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
