@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Mapping, Sequence
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,22 +26,29 @@ LETTER_FOLDS = {
 }
 
 
+# The blocks of Latin letters beyond ASCII.
+LATIN_BLOCKS = ((0xC0, 0x250), (0x1E00, 0x1F00), (0x2C60, 0x2C80), (0xA720, 0xA800), (0xAB30, 0xAB70), (0xFB00, 0xFB07), (0xFF21, 0xFF5B))
+
+
+@cache
+def latin_folds() -> dict[str, str]:
+    """Every Latin letter that Unicode decomposes into ASCII letters and marks, and the few others of the list above.
+
+    Ligatures and letter pairs are written out, wide letters become plain ones.
+    """
+    folds = {}
+    for first, end in LATIN_BLOCKS:
+        for letter in map(chr, range(first, end)):
+            plain = "".join(ch for ch in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(ch))
+            if plain != letter and plain.isascii() and plain.isalpha():
+                folds[letter] = plain
+    return folds | LETTER_FOLDS
+
+
 def _single_letter_folds() -> tuple[str, str]:
-    """Accented Latin letters and their plain letters, derived from Unicode decomposition."""
-    source, target = [], []
-    for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
-        letter = chr(code)
-        plain = "".join(
-            ch for ch in unicodedata.normalize("NFD", letter) if not unicodedata.combining(ch)
-        )
-        if plain != letter and len(plain) == 1 and plain.isascii():
-            source.append(letter)
-            target.append(plain)
-    for letter, plain in LETTER_FOLDS.items():
-        if len(plain) == 1:
-            source.append(letter)
-            target.append(plain)
-    return "".join(source), "".join(target)
+    """Letters that become one letter, and these, for ``translate``."""
+    single = {letter: plain for letter, plain in latin_folds().items() if len(plain) == 1}
+    return "".join(single), "".join(single.values())
 
 
 def trim_all(value: ColumnLike) -> Column:
@@ -62,9 +70,15 @@ def fold_latin(value: ColumnLike) -> Column:
     text = as_column(value)
     source, target = _single_letter_folds()
     out = F.translate(text, source, target)
-    for letter, plain in LETTER_FOLDS.items():
-        if len(plain) > 1:
-            out = F.replace(out, F.lit(letter), F.lit(plain))
+    pairs = {letter: plain for letter, plain in latin_folds().items() if len(plain) > 1}
+
+    def written_out(t: Column) -> Column:
+        for letter, plain in pairs.items():
+            t = F.replace(t, F.lit(letter), F.lit(plain))
+        return t
+
+    # few texts have them, and one look tells which
+    out = let(out, lambda t: F.when(F.rlike(t, F.lit(f"[{''.join(pairs)}]")), written_out(t)).otherwise(t))
 
     def without_loose_marks(t: Column) -> Column:
         # few texts hold loose marks, and only these pay for looking behind each character

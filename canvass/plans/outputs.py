@@ -8,9 +8,13 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canvass.functions.columns import select_mapping
+from canvass.functions.columns import present, select_mapping
+from canvass.operators import duplicates, formlogic, outliers, verdicts
+from canvass.operators.geofence import OUTSIDE
+from canvass.operators.summaries import describe_number
 from canvass.plans import published
 from canvass.plans import reports as rp
+from canvass.plans import survey as sv
 from canvass.plans.audit import Audit, household_table
 from canvass.session import cut_lineage
 from canvass.sources import sinks
@@ -90,11 +94,43 @@ def sheets(
     return out, progress, visits
 
 
+def quality_reviews(audit: Audit) -> dict[str, DataFrame]:
+    """What each quality module found: answers, questions, duplicates, positions, and the table of all verdicts.
+
+    The summaries by question are about effective interviews. Columns that the form does not have are left out.
+    """
+    s, audited = audit.survey, audit.audited
+    effective = audited.filter(F.col("category") == sv.EFFECTIVE)
+    ids = present(audited, [s.unit, s.day, "formdef_version"])
+    out = {
+        "findings": formlogic.findings(audited, ids),
+        "distance_summary": describe_number(audited, "distance_m"),
+        "geofence_alerts": audited.filter(F.col("alert_geo") == OUTSIDE).select(
+            *present(audited, ["alert_geo", "distance_m", s.status_label, "gps_precision", s.key])
+        ),
+        "duplicate_review": duplicates.duplicate_review(
+            audited, "total_dup", present(audited, [s.unit, s.agent, s.day, "identity", s.status_label, "p11_02_nombre", s.comment, s.key])
+        ),
+        "audit_table": verdicts.audit_table(
+            audited,
+            present(audited, [s.key, s.unit, s.agent, "category", "p4_01", "p4_02", "p4_03"]),
+            ["audit_pass", "audit_alert"],
+            ["total_missing", "total_skips"],
+        ),
+    }
+    if present(audited, s.numeric_questions):
+        out["question_outliers"] = outliers.question_outlier_summary(effective, s.numeric_questions, s.agent, k=s.k_numeric)
+    if present(audited, s.nsnr_questions):
+        out["question_nsnr"] = outliers.question_nsnr_summary(effective, s.nsnr_questions, s.agent)
+    return out
+
+
 def reviews(audit: Audit) -> dict[str, DataFrame]:
-    """The review tables of a run: histories, superseded visits, comments, treatments, recordings."""
+    """The review tables of a run: histories, superseded visits, comments, treatments, recordings, and what each module found."""
     s = audit.survey
     closures, partial = rp.closure_review(audit.submissions, s), rp.partial_review(audit.submissions, s)
     found = {"comment_discrepancies": audit.discrepancies()} if s.comment in audit.submissions.columns else {}
+    found |= quality_reviews(audit)
     return found | {
         "closure_review": closures,
         "partial_review": partial,
@@ -116,12 +152,21 @@ def publish_run(
     households: Sequence[tuple[str, str]] | None = None,
     second_cases: str | None = None,
     fmt: str = "parquet",
+    as_set: bool = False,
 ) -> list[str]:
-    """Write every sheet and export below ``root``; the cases may go to a second place."""
+    """Write every sheet and export below ``root``; the cases may go to a second place.
+
+    With ``as_set`` the tables become visible together or not at all: see :func:`sinks.publish_set`.
+    """
     tables, progress, visits = sheets(audit, cases, enumerators, names, run_date, as_of)
     tables |= exports(audit, progress, visits, households=households)
     tables |= reviews(audit)
     also = {"cases": second_cases} if second_cases else None
-    written = sinks.publish_all(tables, root, fmt=fmt, also=also, orders=published.ORDERS)
+    if as_set:
+        written = sinks.publish_set(tables, root, fmt=fmt, orders=published.ORDERS)
+        if second_cases:
+            sinks.publish(sinks.read_set(audit.raw.sparkSession, root, "cases"), [second_cases], label="cases", fmt=fmt)
+    else:
+        written = sinks.publish_all(tables, root, fmt=fmt, also=also, orders=published.ORDERS)
     sinks.write_dated_csv(tables["households"], f"{root}/clean", run_date)
     return written

@@ -228,6 +228,9 @@ ORDERS = {
     "scheme_review": ["FECHA", "PADRÓN"],
     "daily_progress": ["Indicador"],
     "intervention_by_agent": ["-total"],
+    "findings": ["padron_pull", "finding"],
+    "question_outliers": ["-outliers", "question"],
+    "question_nsnr": ["-total_nsnr", "question"],
 }
 
 # Columns of the clean household table, "output" or "output source".

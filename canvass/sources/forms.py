@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from canvass.functions.columns import with_snake_names
 from canvass.operators.reshape import union_by_name
+from canvass.session import cut_lineage
 
 
 def leaf_columns(schema: T.StructType) -> list[tuple[str, Column]]:
@@ -90,3 +91,44 @@ def read_forms(
                 raise
             warnings.warn(f"form skipped, nothing at {path}", stacklevel=2)
     return with_snake_names(union_by_name(frames))
+
+
+CORRUPT = "__corrupt"
+REFUSED = "form string, record string, reason string"
+
+
+def read_checked_forms(
+    spark: SparkSession,
+    paths: Sequence[str],
+    *,
+    multi_line: bool = True,
+    schema: T.StructType | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Several forms stacked as by :func:`read_forms`, and what could not be read of them, ``(form, record, reason)``.
+
+    Malformed records are set aside, the others of their form stay. Each form is written once, so that one
+    that fails while it is read (a file cut off, not only a missing one) is refused as a whole with a warning and does
+    not hurt the rest.
+    """
+    frames, refused = [], [spark.createDataFrame([], REFUSED)]
+    for path in paths:
+        reader = spark.read.option("multiLine", multi_line).option("primitivesAsString", True)
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        if schema is not None:
+            reader = reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+        try:
+            form = cut_lineage(all_text(flatten(reader.json(path))), "form")
+        except Exception as error:  # whatever is wrong with one form, the others are read
+            reason = str(error).strip().splitlines()[0][:500]
+            refused.append(spark.createDataFrame([(path, None, reason)], REFUSED))
+            warnings.warn(f"form refused, {path}: {reason}", stacklevel=2)
+            continue
+        if CORRUPT in form.columns:
+            bad = form.filter(F.col(CORRUPT).isNotNull())
+            refused.append(bad.select(F.lit(path).alias("form"), F.col(CORRUPT).alias("record"), F.lit("malformed record").alias("reason")))
+            form = form.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        if form.columns:
+            frames.append(form)
+    if not frames:
+        raise ValueError("none of the forms could be read")
+    return with_snake_names(union_by_name(frames)), union_by_name(refused)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from canvass.functions.columns import as_column, drop_nested
 
@@ -74,6 +77,69 @@ def publish_all(
     return list(tables)
 
 
+MANIFEST = "run int, name string, path string, format string, rows long"
+
+
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """What has been published below ``root`` as a set: a row for each table of each run."""
+    try:
+        return spark.read.schema(MANIFEST).option("recursiveFileLookup", True).json(f"{root}/manifest")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
+
+
+def publish_set(
+    tables: Mapping[str, DataFrame],
+    root: str,
+    *,
+    fmt: str = "parquet",
+    orders: Mapping[str, Sequence[str]] | None = None,
+) -> list[str]:
+    """Publish a set of named tables that become visible together, or not at all.
+
+    Every table is first written below ``runs``, read again and counted against what was written. Only when
+    all of them stand, one file of the manifest names them, and :func:`read_set` goes by the last run of the manifest. So a
+    table that fails leaves the set before it in place; what the failed run has written is never read. Of two
+    runs that publish at the same time, one fails.
+    """
+    if not tables:
+        return []
+    spark = next(iter(tables.values())).sparkSession
+    run = (manifest(spark, root).agg(F.max("run")).first()[0] or 0) + 1
+    folder = f"runs/{run:06d}-{uuid.uuid4().hex[:8]}"
+    rows = []
+    for name, df in tables.items():
+        place, written = f"{folder}/{name}", Observation()
+        flat = drop_nested(df)
+        order = ordering((orders or {}).get(name, ()))
+        # Counted after the sort: finding its ranges reads what is below twice.
+        table = (flat.orderBy(*order) if order else flat).observe(written, F.count(F.lit(1)).alias("rows"))
+        publish(table, f"{root}/{place}", label=name, fmt=fmt)
+        try:
+            staged = spark.read.format(fmt).load(f"{root}/{place}") if fmt != "parquet" else spark.read.schema(flat.schema).parquet(f"{root}/{place}")
+            found = staged.count()
+        except Exception as error:
+            raise PublishError(f"{name}: {error}") from error
+        if found != written.get["rows"]:
+            raise PublishError(f"{name}: {written.get['rows']} rows written, {found} found")
+        rows.append((run, name, place, fmt, found))
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("errorifexists").json(f"{root}/manifest/{run:06d}")
+    log.info("run %d published to %s", run, root)
+    return list(tables)
+
+
+def read_set(spark: SparkSession, root: str, name: str, run: int | None = None) -> DataFrame:
+    """A table of the last set published below ``root``, or of another run."""
+    rows = manifest(spark, root).filter(F.col("name") == name)
+    row = (rows if run is None else rows.filter(F.col("run") == run)).orderBy(F.desc("run")).first()
+    last = manifest(spark, root).agg(F.max("run")).first()[0]
+    if row is None or (run is None and row["run"] != last):
+        raise PublishError(f"{name}: not in the published set")
+    return spark.read.format(row["format"]).load(f"{root}/{row['path']}")
+
+
 def write_dated_csv(df: DataFrame, root: str, run_date: date, *, label: str = "clean table") -> str:
     """CSV files under ``run_date=…`` with NULL written as nothing."""
     path = f"{root}/run_date={run_date.isoformat()}"
