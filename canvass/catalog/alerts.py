@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from canvass.catalog.quality import RULES, form_answers
-from canvass.catalog.registry import AUDITED, interviews, query, table
+from canvass.catalog.registry import AUDITED, INTERVIEWS, interviews, query, table
 from canvass.functions.columns import select_mapping
 from canvass.functions.rules import category
 from canvass.operators import formlogic, verdicts, visits
@@ -205,14 +205,18 @@ def alert_totals(spark, sf_dir):
 
 @query(
     "scheme_review",
-    """WITH i AS (
-      SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 4 = 0 THEN '1' WHEN o_orderkey % 9 <> 0 THEN '0' END AS g3,
-             CASE WHEN o_orderkey % 4 = 1 THEN '1' ELSE '0' END AS g4 FROM orders)
-    SELECT o_orderkey AS "ID", o_custkey AS "PADRÓN", '' AS "STATUS DE REVISIÓN", '' AS "COMENTARIOS DE LA ARQUI"
-    FROM i WHERE g3 = '1' OR g4 = '1'""",
+    f"""WITH {INTERVIEWS} SELECT padron_pull AS "PADRÓN", day AS "FECHA", supervisor_pull AS "SUPERVISOR", tecnico_pull AS "TÉCNICO",
+      ident_enc_resp AS "ENCUESTADOR", status_survey_resp AS "FUENTE", p10_09 AS "TIPO DE CONEXIÓN", grupo_experimento AS "TIPO DE ESQUEMA",
+      concat(CAST(key AS VARCHAR), '.jpg') AS "FOTO FRENTE ESQUEMA", identity AS "FOTO REVERSO ESQUEMA",
+      '' AS "STATUS DE REVISIÓN", '' AS "COMENTARIOS DE LA ARQUI"
+    FROM interviews WHERE grupo_3 = '1' OR grupo_4 = '1'""",
 )
 def scheme_review(spark, sf_dir):
-    return rp.scheme_review(
-        interviews(spark, sf_dir), published.SCHEME_REVIEW_FLAGS,
-        {"ID": "key", "PADRÓN": "id"}, published.SCHEME_REVIEW_BLANKS,
-    )
+    """The published sheet with all of its columns."""
+    rows = interviews(spark, sf_dir).withColumns({
+        "fuente_resp": F.col("status_survey_resp"),
+        "p10_09_resp": F.col("p10_09"),
+        "foto_ef_anverso": F.concat(F.col("key").cast("string"), F.lit(".jpg")),
+        "foto_ef_reverso": F.col("identity"),
+    })
+    return rp.scheme_review(rows, published.SCHEME_REVIEW_FLAGS, published.SCHEME_REVIEW, published.SCHEME_REVIEW_BLANKS)

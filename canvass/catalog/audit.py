@@ -199,6 +199,9 @@ def survey_audit(spark, sf_dir):
            WHEN flag_geofencing = 1 OR flag_extreme_values = 1 THEN '🟡 ADVERTENCIA'
            ELSE '🔵 REVISIÓN' END AS "Status",
       concat_ws(' | ',
+        CASE WHEN flag_geofencing = 1 THEN '📍 GPS: ' || CAST(CAST(round(distance_m) AS BIGINT) AS VARCHAR) || 'm fuera' END,
+        CASE WHEN flag_duration_outlier = 1 THEN
+          '⏱️ Duración: ' || regexp_replace(CAST(round(CAST(minutes AS DECIMAL(30, 12)), 1)::DECIMAL(30, 1) AS VARCHAR), '[.]0$', '') || 'm' END,
         CASE WHEN flag_garbage_text = 1 THEN '🗑️ Basura: p7_05: ''' || p7_05 || '''' END,
         CASE WHEN flag_nsnr = 1 THEN '❓ NS/NR: ' || concat_ws(', ',
           {', '.join(f"CASE WHEN trim({q}) IN ('-1', '98', '99') THEN '{q}' END" for q in ('p4_04', 'p4_05', 'p5_08'))}) END,
@@ -211,25 +214,33 @@ def survey_audit(spark, sf_dir):
       FROM audited WHERE audit_alert = 1""",
 )
 def survey_alerts(spark, sf_dir):
-    """The alert sheet of the whole audit; measures of time and place are left out here."""
+    """The alert sheet of the whole audit."""
     report = rp.alert_table(run(spark, sf_dir).audited, SURVEY)
     sheet = select_mapping(report, published.ALERT_TABLE)
-    measures = r"(^| \| )(📍 GPS: [^|]*?m fuera|⏱️ Duración: [^|]*?m)(?= \| |$)"
-    text = F.regexp_replace("Alertas Detalladas", measures, "")
-    return sheet.select("ID Encuesta", "Padron", "Status", F.regexp_replace(text, r"^ \| ", "").alias("Alertas"))
+    return sheet.select("ID Encuesta", "Padron", "Status", F.col("Alertas Detalladas").alias("Alertas"))
 
 
 @query(
     "survey_scorecard",
-    f"""WITH {SURVEY_SQL} SELECT 'Manzana ' || manzana_pull AS block, CAST(count(*) AS BIGINT) AS units_visited,
-      CAST(sum(audit_pass) AS BIGINT) AS passed, CAST(sum(audit_alert) AS BIGINT) AS with_alert,
+    f"""WITH {SURVEY_SQL} SELECT 'Manzana ' || coalesce(regexp_extract(manzana_pull, '\\d+'), 'NA') AS block, CAST(count(*) AS BIGINT) AS units_visited,
+      CAST(sum(CAST(category = 'EFECTIVA' AS INT)) AS BIGINT) AS effective,
+      CAST(sum(flag_geofencing) AS BIGINT) AS alerts_gps, CAST(sum(flag_garbage_text) AS BIGINT) AS alerts_garbage,
+      CAST(sum(flag_duration_outlier) AS BIGINT) AS alerts_time, CAST(sum(flag_duplicated) AS BIGINT) AS alerts_duplicates,
+      CAST(sum(flag_nsnr) AS BIGINT) AS alerts_nsnr, CAST(sum(flag_extreme_values) AS BIGINT) AS alerts_outliers,
+      round(CAST(avg(total_missing) AS DECIMAL(38, 12)), 2)::DOUBLE AS mean_missing,
+      round(CAST(avg(total_skips) AS DECIMAL(38, 12)), 2)::DOUBLE AS mean_skips,
+      CAST(sum(audit_alert) AS BIGINT) AS with_alert, CAST(sum(audit_pass) AS BIGINT) AS passed,
       round(CAST(CAST(sum(audit_pass) AS DOUBLE) / count(*) * 100 AS DECIMAL(38, 12)), 1)::DOUBLE AS quality_index,
-      string_agg(DISTINCT tecnico_pull, ' | ' ORDER BY tecnico_pull) AS teams
-    FROM audited GROUP BY manzana_pull""",
+      arg_min(supervisor_pull, (coalesce(padron_pull, '~'), key)) FILTER (WHERE supervisor_pull IS NOT NULL) AS supervisor,
+      string_agg(DISTINCT tecnico_pull, ' | ' ORDER BY tecnico_pull) AS teams,
+      CASE WHEN round(CAST(CAST(sum(audit_pass) AS DOUBLE) / count(*) * 100 AS DECIMAL(38, 12)), 1) >= 90 THEN '✅ ALTA CALIDAD'
+           WHEN round(CAST(CAST(sum(audit_pass) AS DOUBLE) / count(*) * 100 AS DECIMAL(38, 12)), 1) >= 70 THEN '⚠️ REVISIÓN LEVE'
+           ELSE '🚨 CRÍTICA: REVISAR EQUIPO' END AS quality_band
+    FROM audited GROUP BY 1""",
 )
 def survey_scorecard(spark, sf_dir):
-    card = rp.block_scorecard(run(spark, sf_dir).audited, SURVEY)
-    return card.select("block", "units_visited", "passed", "with_alert", "quality_index", "teams")
+    """All columns of the block scorecard of the whole audit."""
+    return rp.block_scorecard(run(spark, sf_dir).audited, SURVEY).select(*[source for _, source in published.BLOCK_SCORECARD])
 
 
 @query(
