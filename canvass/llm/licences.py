@@ -271,8 +271,8 @@ def scan_licences(
 
     Every line with a word is a paragraph, and so is what stands on several lines without an
     empty one between. The classifier learns from the templates and from
-    at most ``sample`` paragraphs of the corpus as the unknown class; it is then sent to all
-    tasks and has one size. A paragraph belongs to its likeliest family if that is not
+    at most ``sample`` paragraphs of the corpus as the unknown class (lines of 1 to 2,000 characters with the least hashes,
+    as often as they occur); it is then sent to all tasks and has one size. A paragraph belongs to its likeliest family if that is not
     unknown and has probability ``least``; it is confirmed if ``confirm`` of the words of one of the
     family's templates stand in it in order.
 
@@ -280,6 +280,8 @@ def scan_licences(
     ``(paragraph, family, probability, similarity, confirmed)`` of the paragraphs with a
     family, ``paragraph`` counted from 0 among lines with a word. A notice wrapped over lines is listed at its
     first line if it is confirmed and no line of it is by itself; ``n_paragraphs`` counts lines. Null and empty texts have no paragraphs.
+    A notice inside a line of thousands of other words is part of one long paragraph, and may be too small a share of it to
+    be predicted.
     """
     texts = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(train(background(texts, "text", sample)))

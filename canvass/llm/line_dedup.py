@@ -10,10 +10,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from canvass.llm.repeats import with_lists
-from canvass.llm.store import documents, drop_stored, keyed, stored
+from canvass.llm.store import documents, drop_stored, keyed, stored_lean
 
 SPACE = r"[\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]"
 RARITY_SLOTS = 1 << 16
+LONG_LINE = 96  # words; from here on a sketch of 64 bits says little, and a line has one of 128
 
 
 def _tokens(line: Column) -> Column:
@@ -31,15 +33,14 @@ def _rarity(docs: DataFrame) -> Column:
     steps = [0] * RARITY_SLOTS
     for slot, n in slots.select("slot", F.floor(2 * F.log2("count")).cast("int")).collect():
         steps[slot] = n
-    return F.from_json(F.lit(str(steps)), "array<int>")
+    return F.from_json(F.lit(str([n << 56 for n in steps])), "array<long>")
 
 
 def _ranked(tokens: Column, rarity: Column) -> Column:
     """Tokens as numbers that sort from rare to common."""
 
     def number(h: Column) -> Column:
-        step = F.get(rarity, F.pmod(h, F.lit(RARITY_SLOTS)).cast("int"))
-        return F.shiftleft(step.cast("long"), 56) + h.bitwiseAND((1 << 56) - 1)
+        return F.get(rarity, F.pmod(h, F.lit(RARITY_SLOTS)).cast("int")) + h.bitwiseAND((1 << 56) - 1)
 
     return F.sort_array(F.transform(F.transform(tokens, lambda x: F.xxhash64(x)), number))
 
@@ -57,11 +58,13 @@ def _similar(t: Fraction, n: Column, m: Column, i: Column, j: Column, a: Column,
     return (differ * q <= most) & (F.bit_count(a.bitwiseXOR(b)) * q <= most)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, t: Fraction, few: bool) -> DataFrame:
-    """Whether the token sets of the lines at ``later_place`` and ``earlier_place`` have Jaccard similarity ``t`` or more."""
-    places = pairs.select(F.explode(F.array("later_place", "earlier_place")).alias("p")).distinct().select("p.*")
-    lists = places.groupBy("id", "row").agg(F.collect_list("line").alias("lines"))
-    found = with_lists(docs, lists, "inner", few).withColumn("all", F.split("text", "\n"))
+def _verified(docs: DataFrame, pairs: DataFrame, places: DataFrame, t: Fraction) -> DataFrame:
+    """Whether the token sets of the lines at ``later_place`` and ``earlier_place`` have Jaccard similarity ``t`` or more.
+
+    ``places`` are those of all pairs, each once. Only the word sets of these lines are sent, not their documents, if Spark finds that their places can go to all tasks.
+    """
+    lists = places.select("place.*").groupBy("id", "row").agg(F.collect_list("line").alias("lines"))
+    found = with_lists(docs, lists, "inner", few=True).withColumn("all", F.split("text", "\n"))
     found = found.select("id", "row", F.explode("lines").alias("line"), "all")
     sets = found.select(F.struct("id", "row", "line").alias("p"), _tokens(F.get("all", "line")).alias("set"))
     both = pairs.join(sets.select(F.col("p").alias("later_place"), F.col("set").alias("a")), "later_place")
@@ -71,25 +74,33 @@ def _verified(docs: DataFrame, pairs: DataFrame, t: Fraction, few: bool) -> Data
     return both.select("later", "earlier", "star", (common * t.denominator >= union * t.numerator).alias("ok"))
 
 
-def later_similar(classes: DataFrame, t: Fraction, verified: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
+def later_similar(classes: DataFrame, t: Fraction, verified: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """``later``: the numbers of token sets that are similar to an earlier one.
 
     ``classes`` has a row for each different set: its number ``c`` in the order of places, ``place``,
-    size ``n``, sketch ``bits``, ``prefix`` of rarest tokens, and how many ``rows`` have it. ``verified`` says of
-    pairs with ``later_place`` and ``earlier_place`` whether they are similar; ``few`` tells that few are expected.
+    size ``n``, sketch ``bits``, ``prefix`` of rarest tokens, how many ``rows`` have it, and, if there is that column, for long
+    sets the ``half`` of the sketch that every other token makes. ``verified`` says of
+    pairs with ``later_place`` and ``earlier_place`` whether they are similar; it is given the ``place`` of each class in them, too.
     """
     # Classes that share a prefix token. The fullest, else earliest, class of a token answers for
     # the whole token: what seems similar to it and is later is not paired with others yet.
-    each = classes.select(F.posexplode("prefix").alias("i", "token"), "n", "bits", "c", "rows").where("token is not null")
-    each = each.select("token", "c", "bits", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("i")).alias("ni"), "rows")
+    sketches = [c for c in ("bits", "half") if c in classes.columns]
+    each = classes.select(F.posexplode("prefix").alias("i", "token"), "n", *sketches, "c", "rows").where("token is not null")
+    each = each.select("token", "c", *sketches, (F.shiftleft(F.col("n").cast("long"), 32) + F.col("i")).alias("ni"), "rows")
 
     def fits(one: str, two: str) -> Column:
         n, i = (lambda x: F.shiftright(f"{x}ni", 32)), (lambda x: F.col(f"{x}ni").bitwiseAND((1 << 32) - 1))
-        return _similar(t, n(one), n(two), i(one), i(two), F.col(f"{one}bits"), F.col(f"{two}bits"))
+        fit = _similar(t, n(one), n(two), i(one), i(two), F.col(f"{one}bits"), F.col(f"{two}bits"))
+        if "half" not in sketches:
+            return fit
+        own = F.col(f"{one}half").bitwiseXOR(F.col(f"{two}half"))
+        other = own.bitwiseXOR(F.col(f"{one}bits")).bitwiseXOR(F.col(f"{two}bits"))
+        far = (F.bit_count(own) + F.bit_count(other)) * (t.denominator + t.numerator) > (n(one) + n(two)) * (t.denominator - t.numerator)
+        return fit & ~F.coalesce(far, F.lit(False))
 
     def paired(left: DataFrame, right: DataFrame) -> DataFrame:
         first = W.partitionBy("token").orderBy(F.desc("rows"), "c")
-        seen = left.withColumn("p", F.first(F.struct("ni", "bits", "c")).over(first))
+        seen = left.withColumn("p", F.first(F.struct("ni", *sketches, "c")).over(first))
         seen = seen.withColumn("near", fits("", "p.") & (F.col("c") != F.col("p.c")))
         other = right.select(*[F.col(c).alias(f"o_{c}") for c in right.columns])
         star = F.col("near") & (F.col("o_c") == F.col("p.c"))
@@ -99,64 +110,66 @@ def later_similar(classes: DataFrame, t: Fraction, verified: Callable[[DataFrame
         both = both.select(F.greatest("c", "o_c").alias("later"), F.least("c", "o_c").alias("earlier"), star.alias("star"))
         return both.groupBy("later", "earlier").agg(F.max("star").alias("star"))
 
-    def checked_pairs(pairs: DataFrame, few: bool = False) -> DataFrame:
+    def checked_pairs(pairs: DataFrame) -> DataFrame:
         places = classes.select("c", "place")
+        wanted = pairs.select(F.col("later").alias("c")).union(pairs.select("earlier")).distinct().join(places, "c").select("place")
         for side in ("later", "earlier"):
             pairs = pairs.join(places.select(F.col("c").alias(side), F.col("place").alias(f"{side}_place")), side)
-        return verified(pairs, few)
+        return verified(pairs, wanted)
 
     tokens = each.repartition("token")
-    pairs = stored(paired(tokens, tokens), "line-pairs")
-    checked = stored(checked_pairs(pairs), "line-checked")
+    pairs = stored_lean(paired(tokens, tokens), "line-pairs")
+    checked = stored_lean(checked_pairs(pairs), "line-checked")
     gone = checked.where("ok").select("later").distinct()
 
     # Those that only seemed similar to a token's class are paired with all others after all.
     missed = checked.where("not ok and star").select("later").distinct().join(gone, "later", "left_anti")
-    missed = stored(missed.withColumnRenamed("later", "c"), "line-missed")
+    missed = stored_lean(missed.withColumnRenamed("later", "c"), "line-missed")
     if not missed.isEmpty():
         other = each.select(*[F.col(c).alias(f"o_{c}") for c in each.columns])
         again = each.join(missed, "c", "left_semi").join(other, (F.col("token") == F.col("o_token")) & (F.col("o_c") < F.col("c")) & fits("", "o_"))
         again = again.select(F.col("c").alias("later"), F.col("o_c").alias("earlier"), F.lit(False).alias("star")).distinct()
-        again = stored(again.join(checked, ["later", "earlier"], "left_anti"), "line-pairs")
-        gone = gone.unionByName(checked_pairs(again, few=True).where("ok").select("later")).distinct()
+        again = stored_lean(again.join(checked, ["later", "earlier"], "left_anti"), "line-pairs")
+        gone = gone.unionByName(checked_pairs(again).where("ok").select("later")).distinct()
     return gone
 
 
-def kept_lines(docs: DataFrame, similarity: float = 0.8, least: int = 5) -> tuple[DataFrame, DataFrame]:
-    """Places of judged lines that stay, ``(id, row, line)``, and the numbers of lines of every document."""
+def kept_lines(docs: DataFrame, similarity: float = 0.8, least: int = 1) -> DataFrame:
+    """Places of judged lines that stay, ``(id, row, line)``."""
     t = Fraction(similarity).limit_denominator(1000)
     lines = docs.select("id", "row", F.posexplode(F.split("text", "\n")).alias("line", "body"))
     lines = lines.select("id", "row", "line", _ranked(_tokens(F.col("body")), _rarity(docs)).alias("v"))
     keep = F.ceil(F.size("v") * F.lit(t.numerator) / F.lit(t.denominator)).cast("int")
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
-    bits = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x)))
+    none = F.lit(0).cast("long")
+
+    even = F.aggregate("v", none, lambda a, x: F.when(x.bitwiseAND(64) == 0, a.bitwiseXOR(bit(x))).otherwise(a))
+    half = F.when(F.size("v") >= LONG_LINE, even)
+    bits = F.aggregate("v", none, lambda a, x: a.bitwiseXOR(bit(x)))
     prefix = F.transform(F.slice("v", 1, F.size("v") - keep + 1), lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
-    lines = lines.select("id", "row", "line", F.size("v").alias("n"), F.xxhash64("v").alias("set"), bits.alias("bits"), prefix.alias("prefix"))
-    lines = stored(lines, "lines")
-    totals = stored(lines.groupBy("id", "row").agg(F.count("*").alias("n_lines"), F.count_if(F.col("n") >= least).alias("n_judged")), "line-totals")
+    lines = lines.select("id", "row", "line", F.size("v").alias("n"), F.xxhash64("v").alias("set"), bits.alias("bits"), half.alias("half"), prefix.alias("prefix"))
 
     # One row for each token set, with its first place; classes are numbered in the order of places.
-    classes = lines.where(F.col("n") >= least).groupBy("set", "bits", "n")
-    classes = classes.agg(F.min(F.struct("id", "row", "line")).alias("place"), F.count("*").alias("rows"), F.first("prefix").alias("prefix"))
-    classes = stored(classes.sort("place").withColumn("c", F.monotonically_increasing_id()), "line-classes")
-    drop_stored(lines)
-
-    def verified(pairs: DataFrame, few: bool) -> DataFrame:
-        return _verified(docs, pairs, t, few)
+    classes = lines.groupBy("set", "n").agg(
+        F.min(F.struct("id", "row", "line")).alias("place"), F.count("*").alias("rows"), *[F.first(c).alias(c) for c in ("bits", "half", "prefix")]
+    )
+    # Not a condition on the words alone: that would be pushed down, and they would be made twice.
+    classes = stored_lean(classes.where(F.col("n") * F.least("rows", F.lit(1)) >= max(least, 1)), "line-sets")
+    numbered = stored_lean(classes.sort("place").withColumn("c", F.monotonically_increasing_id()), "line-classes")
+    drop_stored(classes)
 
-    gone = later_similar(classes, t, verified)
-    stay = classes.select("c", "place").join(gone, F.col("c") == F.col("later"), "left_anti").select("place.*")
-    return stay, totals
+    gone = later_similar(numbered, t, lambda pairs, places: _verified(docs, pairs, places, t))
+    return numbered.select("c", "place").join(gone, F.col("c") == F.col("later"), "left_anti").select("place.*")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, least: int = 5) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, least: int = 1) -> DataFrame:
     """Remove every line that is similar to an earlier one, of the same document or another.
 
     Lines are parted by line feeds, words by ASCII white space. Two lines are similar if
     their sets of words have Jaccard similarity ``similarity`` or more. Earlier means a
     smaller id, then a smaller hash of the text, then a smaller line number; a null id
     comes first. Lines are judged on the input, not on what is left. Lines of fewer than
-    ``least`` different words stay.
+    ``least`` different words stay; by default every line with a word is judged.
 
     Words are ordered from rare to common; lines with a common word in their prefixes are
     compared if length, place of that word and a sketch of the set allow it, and then word
@@ -168,13 +181,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text are one document and are treated alike.
     """
     packed = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("doc"), F.col(id_col).alias("doc_key"), F.col(text_col).alias("body"))
-    stay, _ = kept_lines(keyed(docs, id_col, text_col), similarity, least)
+    stay = kept_lines(keyed(docs, id_col, text_col), similarity, least)
     lists = stay.groupBy("id", "row").agg(F.collect_list("line").alias("kept"))
     named = packed.select(F.col("doc_key").alias("id"), F.xxhash64("body").alias("row"), F.col("body").alias("text"), "doc")
     found = with_lists(named, lists, "left")
     kept = F.coalesce("kept", F.array().cast("array<int>"))
     lines = F.split("text", "\n")
-    left = F.filter(lines, lambda x, i: (F.size(_tokens(x)) < least) | F.array_contains(kept, i))
+    unjudged = (lambda x: ~F.rlike(x, F.lit(WORD))) if least <= 1 else (lambda x: F.size(_tokens(x)) < least)
+    left = F.filter(lines, lambda x, i: unjudged(x) | F.array_contains(kept, i))
     out = found.withColumn("left", left).withColumn("all", F.size(lines))
     out = out.withColumn("new", F.when(F.size("left") < F.col("all"), F.array_join("left", "\n")).otherwise(F.col("text")))
     out = out.where("text is null or size(left) = `all` or new rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
@@ -190,16 +204,19 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stay, totals = kept_lines(keyed(documents(spark, sf_dir)))
+    stay = kept_lines(keyed(documents(spark, sf_dir)))
     kept = stay.groupBy("id", "row").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("line")), ",").alias("kept_lines"))
-    every = keyed(documents(spark, sf_dir)).select("id", "row").alias("d")
-    out = every.join(totals.alias("t"), F.col("d.id").eqNullSafe(F.col("t.id")) & (F.col("d.row") == F.col("t.row")), "left")
-    out = out.join(kept.alias("k"), F.col("d.id").eqNullSafe(F.col("k.id")) & (F.col("d.row") == F.col("k.row")), "left")
-    zero = F.lit(0).cast("long")
+    all_lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    counted = [
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(all_lines)).cast("long").alias("n_lines"),
+        F.size(F.filter(all_lines, lambda x: F.rlike(x, F.lit(WORD)))).cast("long").alias("n_judged"),
+    ]
+    every = keyed(documents(spark, sf_dir)).select("id", "row", *counted).alias("d")
+    out = every.join(kept.alias("k"), F.col("d.id").eqNullSafe(F.col("k.id")) & (F.col("d.row") == F.col("k.row")), "left")
     return out.select(
         F.col("d.id").alias("doc_id"),
-        F.coalesce("n_lines", zero).alias("n_lines"),
-        F.coalesce("n_judged", zero).alias("n_judged"),
-        (F.coalesce("n_judged", zero) - F.coalesce("n", zero)).alias("n_removed"),
+        "n_lines",
+        "n_judged",
+        (F.col("n_judged") - F.coalesce("n", F.lit(0))).cast("long").alias("n_removed"),
         F.coalesce("kept_lines", F.lit("")).alias("kept_lines"),
     )

@@ -206,7 +206,11 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The documents the mix takes words of, all columns, with ``taken`` beside them."""
+    """The documents the mix takes words of, all columns, with ``taken`` beside them.
+
+    The columns ``doc_id``, ``text`` and ``source`` are read by these names; a column of the input that is itself named
+    ``taken`` is replaced. Rows equal in id and text are one document and take the same.
+    """
     taken = mixed(docs).where("taken > 0").groupBy("doc_id", "row").agg(F.max("taken").alias("taken"))
     taken = taken.withColumnsRenamed({"doc_id": "mix_id", "row": "mix_row"}).hint("shuffle_hash")
     same = docs["doc_id"].eqNullSafe(taken["mix_id"]) & (F.xxhash64(docs["text"]) == taken["mix_row"])

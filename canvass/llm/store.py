@@ -13,19 +13,45 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return cut_lineage(df, name)
 
 
+def stored_lean(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, and the shuffle files of its making are removed as soon as the table stands.
+
+    Spark keeps them until the driver happens to collect its garbage. The session's setting is as it was afterwards.
+    """
+    name_, conf = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", df.sparkSession.conf
+    before = conf.get(name_, "false")
+    conf.set(name_, "true")
+    try:
+        return cut_lineage(df, name)
+    finally:
+        conf.set(name_, before)
+
+
 def drop_stored(df: DataFrame) -> None:
-    """Remove the files of a table made by ``stored``; call it when nothing reads it any more."""
+    """Remove the files of a table made by ``stored``; call it when nothing reads it any more. For classic sessions."""
     spark = df.sparkSession
     folder = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent() if df.inputFiles() else None
     if folder is not None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def with_groups(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` joined with one row for each of its groups, ``(keys, n_rows, ...)``, however large a group is.
+
+    ``groups`` should be a stored table, and counts the rows of ``df``. Those that hold more than 1/256 of all rows, so at most
+    256, are sent to all tasks, and their rows are not moved; only the others are dealt out by their keys.
+    """
+    total = groups.agg(F.sum("n_rows")).first()[0] or 0
+    hot, cold = (groups.where(c).drop("n_rows") for c in (F.col("n_rows") * 256 > total, F.col("n_rows") * 256 <= total))
+    rest = df.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
+    return df.join(F.broadcast(hot), keys).unionByName(rest)
+
+
 def small_batches(docs: DataFrame, rows: int = 1000) -> DataFrame:
     """The documents as they are; batches to and from Python get no more than ``rows`` of them.
 
     Spark's default of 10,000 rows is meant for numbers; of texts it makes tens of megabytes
-    for every task and copy.
+    for every task and copy. The session keeps the lower number, since plans are run later than they are made.
     """
     name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", docs.sparkSession.conf
     if not 0 < int(conf.get(name)) <= rows:
