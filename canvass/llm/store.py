@@ -35,18 +35,6 @@ def drop_stored(df: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def with_groups(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    """``df`` joined with one row for each of its groups, ``(keys, n_rows, ...)``, however large a group is.
-
-    ``groups`` should be a stored table, and counts the rows of ``df``. Those that hold more than 1/256 of all rows, so at most
-    256, are sent to all tasks, and their rows are not moved; only the others are dealt out by their keys.
-    """
-    total = groups.agg(F.sum("n_rows")).first()[0] or 0
-    hot, cold = (groups.where(c).drop("n_rows") for c in (F.col("n_rows") * 256 > total, F.col("n_rows") * 256 <= total))
-    rest = df.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
-    return df.join(F.broadcast(hot), keys).unionByName(rest)
-
-
 def small_batches(docs: DataFrame, rows: int = 1000) -> DataFrame:
     """The documents as they are; batches to and from Python get no more than ``rows`` of them.
 
