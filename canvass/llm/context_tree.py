@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from canvass.llm.arrays import LOWER, pieces, signed, word_hashes, words
-from canvass.llm.store import documents, small_batches, stored
+from canvass.llm.store import documents, small_batches, stored_lean
 
 U64 = np.uint64
 BYTE, WORD = 1, 0
@@ -354,7 +354,7 @@ def train(counts: DataFrame, depth: int, least: int) -> tuple[list[tuple[np.ndar
             yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([size], pa.int64()), *packed], names=["short", "size", "depths", "names", "chances", "keys", "values"])
 
     model = groups.mapInArrow(worked_out, "short int, size long, depths binary, names binary, chances binary, keys binary, values binary")
-    return tables, *_entries(tables, own, 0), stored(model, "lm-model")
+    return tables, *_entries(tables, own, 0), stored_lean(model, "lm-model")
 
 
 def blocks_of(model: DataFrame, block_bytes: int) -> Iterator[tuple[np.ndarray, list[int]]]:
@@ -401,7 +401,10 @@ def _held_out(id_: Column) -> Column:
 
 
 def block_scores(texts: DataFrame, depth: int, has: np.ndarray, model: Model) -> DataFrame:
-    """``(id, row, part)``: the log10 probability of those bytes of each text whose context belongs to the block."""
+    """``(id, row, part)``: the log10 probability of those bytes of each text whose context belongs to the block.
+
+    The table is written at once, and the block removed from all tasks.
+    """
     sent = texts.sparkSession.sparkContext.broadcast((has, model))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -415,7 +418,9 @@ def block_scores(texts: DataFrame, depth: int, has: np.ndarray, model: Model) ->
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), pa.array(score)], names=["id", "row", "part"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(rows, f"id {kind}, row long, part double")
+    out = stored_lean(texts.mapInArrow(rows, f"id {kind}, row long, part double"), "lm-scores")
+    sent.destroy()
+    return out
 
 
 def score_documents(
@@ -445,7 +450,7 @@ def score_documents(
     spark = docs.sparkSession
     held = _held_out(F.col(id_col)) if held_out is None else F.coalesce(held_out, F.lit(False))
     texts = small_batches(docs).select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).alias("text"), held.alias("held"))
-    counts = stored(corpus_counts(texts.where("not held"), depth), "lm-counts")
+    counts = stored_lean(corpus_counts(texts.where("not held"), depth), "lm-counts")
     tables, keys, values, model = train(counts, depth, least)
     tokens = counts.where(F.col("kind") == WORD)
     n_train, kinds = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -493,7 +498,7 @@ def score_documents(
     both = both.withColumn("base", F.when(word, F.log10(F.coalesce("n", F.lit(0)) + 1.0) - float(scale)).otherwise(F.col("base")))
     out = both.groupBy("id", "row", "held").agg(*[F.sum(c).alias(c) for c in ("copies", "n_tokens", "n_known", "base", "n_bytes")])
     for k, (has, groups) in enumerate(blocks_of(model, block_bytes)):
-        part = stored(block_scores(texts, depth, has, block_model(model, groups, depth, tables, keys, values)), "lm-scores")
+        part = block_scores(texts, depth, has, block_model(model, groups, depth, tables, keys, values))
         part = part.groupBy("id", "row").agg(F.first("part").alias("part"))
         said = part if k == 0 else said.unionByName(part)
     told = said.groupBy(F.col("id").alias("of"), F.col("row").alias("of_row")).agg(F.sum("part").alias("score"))
