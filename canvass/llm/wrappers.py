@@ -8,7 +8,6 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from difflib import SequenceMatcher
 
 import pyarrow as pa
 import xxhash
@@ -196,34 +195,67 @@ def _fold(part: Part) -> None:
         part.parts = found
 
 
-ALIGNED_CELLS = 250_000
+def _runs(x: list[str], y: list[str]) -> list[tuple[int, int, int]]:
+    """The longest common run, and so on before and after it: place in both and length. Of equal ones the first of ``x`` and then of ``y`` is taken.
 
+    All runs of one length are found in one pass, from the longest on; the parts between them have shorter ones only. Whether there is a run of a
+    length is told by numbers for equal stretches of 1, 2, 4, ... names, so a pass takes as long as the sequences and the passes are few.
+    """
+    names: dict[str, int] = {}
+    grams = [([names.setdefault(name, len(names)) for name in x], [names.setdefault(name, len(names)) for name in y])]
+
+    def stretches(size: int) -> tuple[list, list]:
+        level = size.bit_length() - 1
+        while len(grams) <= level:
+            half, seen = 1 << len(grams) - 1, {}
+            grams.append(tuple([seen.setdefault(pair, len(seen)) for pair in zip(side, side[half:])] for side in grams[-1]))
+        whole = 1 << level
+        return grams[level] if whole == size else tuple(list(zip(side, side[size - whole :])) for side in grams[level])
+
+    found, left = [], [(0, len(x), 0, len(y), min(len(x), len(y)))]
+    while left:
+        i, i_end, j, j_end, most = left.pop()
+
+        def common(size: int) -> bool:
+            a, b = stretches(size)
+            return not set(a[i : i_end - size + 1]).isdisjoint(b[j : j_end - size + 1])  # noqa: B023
+
+        most = min(most, i_end - i, j_end - j)
+        if most < 1 or not common(1):
+            continue
+        size, over = 1, 2  # there is a run of ``size``, and none of ``over`` once that was looked for
+        while over <= most and common(over):
+            size, over = over, 2 * over
+        over = min(over, most + 1)
+        while over - size > 1:
+            middle = (size + over) // 2
+            size, over = (middle, over) if common(middle) else (size, middle)
+        a, b = stretches(size)
+        places: dict = {}
+        for k in range(j, j_end - size + 1):
+            places.setdefault(b[k], []).append(k)
+        k = i
+        while k <= i_end - size:
+            own = places.get(a[k], ())
+            at = bisect_left(own, j)
+            if at < len(own):
+                found.append((k, own[at], size))
+                left.append((i, k, j, own[at], size - 1))
+                k = i = k + size
+                j = own[at] + size
+            else:
+                k += 1
+        left.append((i, i_end, j, j_end, size - 1))
+    return sorted(found)
 
-def _matches(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """Pairs of equal names, in order on both sides: what both begin and end with, and between by longest common runs.
 
-    Thousands of parts on both sides that are not repeated in any order are aligned each with the next of its name; a part
-    without a match is read by its own names, so that no text depends on it.
-    """
+def _matches(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Pairs of equal names, in order on both sides: what both begin and end with, and between by longest common runs, however many parts there are."""
     n = min(len(a), len(b))
     head = next((k for k in range(n) if a[k] != b[k]), n)
     tail = next((k for k in range(n - head) if a[-1 - k] != b[-1 - k]), n - head)
     x, y = a[head : len(a) - tail], b[head : len(b) - tail]
-    if not x or not y:
-        between = []
-    elif len(x) * len(y) <= ALIGNED_CELLS:
-        between = [(m.a + k, m.b + k) for m in SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks() for k in range(m.size)]
-    else:
-        places: dict[str, list[int]] = {}
-        for j, name in enumerate(y):
-            places.setdefault(name, []).append(j)
-        between, upto = [], 0
-        for i, name in enumerate(x):
-            own = places.get(name, [])
-            at = bisect_left(own, upto)
-            if at < len(own) and own[at] - upto <= 64:
-                between.append((i, own[at]))
-                upto = own[at] + 1
+    between = [(i + k, j + k) for i, j, size in _runs(x, y) for k in range(size)] if x and y else []
     last = [(len(a) - k, len(b) - k) for k in range(tail, 0, -1)]
     return [(k, k) for k in range(head)] + [(head + i, head + j) for i, j in between] + last
 
