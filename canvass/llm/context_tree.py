@@ -149,13 +149,16 @@ class Tree:
             else:
                 # What was seen in contexts too rare for the tree is a child of its own.
                 self.rest[i] = (np.maximum(zeros - told[0], 0), np.maximum(ones - told[1], 0))
-                weighted = np.logaddexp(own, told[2] + _log_kt(*self.rest[i])) - np.log(2)
-                self.stop[i] = np.exp(own - np.log(2) - weighted)
+                under = told[2] + _log_kt(*self.rest[i])
+                weighted = np.logaddexp(own, under) - np.log(2)
+                self.stop[i] = np.exp(-np.logaddexp(0, under - own))  # never above one, however long the code
             below = (name, zeros, ones, weighted)
         self.top = below
 
     def mixed(self, said: np.ndarray, left: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
-        """For each depth the decisions, and for a text whose longer context is not in the tree, the probability of a one.
+        """For each depth the decisions, and for a text whose longer context is not in the tree, the log odds of a one.
+
+        A decision seen a hundred million times is so sure that 32 bits hold no such probability below one, but its odds.
 
         ``said`` and ``left`` are what all shorter contexts say of the decisions of the first level, and the
         weight they leave. The same of the last level is returned, too.
@@ -167,7 +170,7 @@ class Tree:
             said = said + left * self.stop[i] * (ones + 0.5) / (zeros + ones + 1)
             left = left * (1 - self.stop[i])
             ends = said + left * (self.rest[i][1] + 0.5) / (self.rest[i][0] + self.rest[i][1] + 1)
-            tables.append((name, ends.astype(np.float32)))
+            tables.append((name, (np.log(ends) - np.log1p(-ends)).astype(np.float32)))
         return tables, said, left
 
 
@@ -180,18 +183,18 @@ def _bits(tables: list[tuple[np.ndarray, np.ndarray]], key: np.ndarray, deepest:
     byte, total = key & U64(255), np.zeros(len(key))
     for b in range(8):
         prefix = U64(1 << b) | byte >> U64(8 - b)
-        one = np.full(len(key), 0.5)
+        odds = np.zeros(len(key))
         open_ = np.arange(len(key))
         for d in range(deepest, -1, -1):
             name, chance = tables[d]
             node = key[open_] & U64((1 << 8 * d) - 1) << U64(8) | prefix[open_]
             at = np.minimum(np.searchsorted(name, node), max(len(name) - 1, 0))
             hit = name[at] == node if len(name) else np.zeros(len(node), bool)
-            one[open_[hit]] = chance[at[hit]]
+            odds[open_[hit]] = chance[at[hit]]
             open_ = open_[~hit]
         bit = (byte >> U64(7 - b) & U64(1)).astype(bool)
-        total += np.log10(np.where(bit, one, 1 - one))
-    return total
+        total -= np.log1p(np.exp(np.where(bit, -odds, odds)))
+    return total / np.log(10)
 
 
 def _entries(tables: list[tuple[np.ndarray, np.ndarray]], counts: list[tuple[np.ndarray, np.ndarray]], first: int) -> tuple[np.ndarray, np.ndarray]:
