@@ -22,27 +22,38 @@ def _tokens(line: Column) -> Column:
     return F.array_distinct(F.array_remove(F.split(line, SPACE), ""))
 
 
+def _lines(text: Column) -> Column:
+    """The lines of a text, with blanks for its other white space, so that words are split at one character, not by an expression."""
+    return F.split(F.when(text.rlike(r"[\x09\x0B-\x0D]"), F.translate(text, "\t\x0b\x0c\r", "    ")).otherwise(text), "\n")
+
+
 def _rarity(docs: DataFrame) -> Column:
     """How common words are, as an array over ``RARITY_SLOTS`` hash slots; counted over all words.
 
     The order of words only has to be the same everywhere. So a slot may hold several words,
     and the table has one size for any corpus.
     """
-    word = F.explode(F.split("text", SPACE))
-    slots = docs.select(word.alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(RARITY_SLOTS)).alias("slot")).count()
+    word = docs.select(F.explode(_lines(F.col("text"))).alias("body")).select(F.explode(F.split("body", " ")).alias("w")).where("w <> ''")
+    slots = word.groupBy(F.xxhash64("w").bitwiseAND(RARITY_SLOTS - 1).alias("slot")).count()
     steps = [0] * RARITY_SLOTS
     for slot, n in slots.select("slot", F.floor(2 * F.log2("count")).cast("int")).collect():
         steps[slot] = n
-    return F.from_json(F.lit(str([n << 56 for n in steps])), "array<long>")
+    # Every description of a plan on the driver repeats this table, so its numbers are short.
+    return F.from_json(F.lit(f"[{','.join(map(str, steps))}]"), "array<tinyint>")
 
 
-def _ranked(tokens: Column, rarity: Column) -> Column:
-    """Tokens as numbers that sort from rare to common."""
+def _ranked(line: Column, rarity: Column) -> Column:
+    """The different words of a line of ``_lines`` as numbers that sort from rare to common.
+
+    Words are told apart by their hashes. Without a null among them Spark sorts numbers as such.
+    """
 
     def number(h: Column) -> Column:
-        return F.get(rarity, F.pmod(h, F.lit(RARITY_SLOTS)).cast("int")) + h.bitwiseAND((1 << 56) - 1)
+        step = F.coalesce(F.get(rarity, h.bitwiseAND(RARITY_SLOTS - 1).cast("int")), F.lit(0).cast("tinyint")).cast("long")
+        return F.call_function("shiftleft", step, F.lit(56)) + h.bitwiseAND((1 << 56) - 1)
 
-    return F.sort_array(F.transform(F.transform(tokens, lambda x: F.xxhash64(x)), number))
+    hashes = F.array_distinct(F.transform(F.split(line, " "), lambda x: F.xxhash64(x)))
+    return F.sort_array(F.transform(F.array_remove(hashes, F.xxhash64(F.lit(""))), number))
 
 
 def _similar(t: Fraction, n: Column, m: Column, i: Column, j: Column, a: Column, b: Column) -> Column:
@@ -74,19 +85,35 @@ def _verified(docs: DataFrame, pairs: DataFrame, places: DataFrame, t: Fraction)
     return both.select("later", "earlier", "star", (common * t.denominator >= union * t.numerator).alias("ok"))
 
 
-def later_similar(classes: DataFrame, t: Fraction, verified: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+def later_similar(classes: DataFrame, t: Fraction, verified: Callable[[DataFrame, DataFrame], DataFrame], linked: DataFrame | None = None) -> DataFrame:
     """``later``: the numbers of token sets that are similar to an earlier one.
 
     ``classes`` has a row for each different set: its number ``c`` in the order of places, ``place``,
     size ``n``, sketch ``bits``, ``prefix`` of rarest tokens, how many ``rows`` have it, and, if there is that column, for long
     sets the ``half`` of the sketch that every other token makes. ``verified`` says of
     pairs with ``later_place`` and ``earlier_place`` whether they are similar; it is given the ``place`` of each class in them, too.
+    ``linked`` are pairs ``(later, earlier)`` that seem similar to another method: they are verified first, and what is
+    later in a similar one is not looked at again, but as an earlier set.
     """
+
+    def checked_pairs(pairs: DataFrame) -> DataFrame:
+        places = classes.select("c", "place")
+        wanted = pairs.select(F.col("later").alias("c")).union(pairs.select("earlier")).distinct().join(places, "c").select("place")
+        for side in ("later", "earlier"):
+            pairs = pairs.join(places.select(F.col("c").alias(side), F.col("place").alias(f"{side}_place")), side)
+        return verified(pairs, wanted)
+
+    open_ = []
+    if linked is not None:
+        known = stored_lean(checked_pairs(linked.select("later", "earlier", F.lit(False).alias("star"))).where("ok").select("later").distinct(), "line-known")
+        classes = classes.join(known.withColumnRenamed("later", "known"), F.col("c") == F.col("known"), "left").withColumn("open", F.col("known").isNull())
+        open_ = ["open"]
+
     # Classes that share a prefix token. The fullest, else earliest, class of a token answers for
     # the whole token: what seems similar to it and is later is not paired with others yet.
     sketches = [c for c in ("bits", "half") if c in classes.columns]
-    each = classes.select(F.posexplode("prefix").alias("i", "token"), "n", *sketches, "c", "rows").where("token is not null")
-    each = each.select("token", "c", *sketches, (F.shiftleft(F.col("n").cast("long"), 32) + F.col("i")).alias("ni"), "rows")
+    each = classes.select(F.posexplode("prefix").alias("i", "token"), "n", *sketches, "c", "rows", *open_).where("token is not null")
+    each = each.select("token", "c", *sketches, (F.shiftleft(F.col("n").cast("long"), 32) + F.col("i")).alias("ni"), "rows", *open_)
 
     def fits(one: str, two: str) -> Column:
         n, i = (lambda x: F.shiftright(f"{x}ni", 32)), (lambda x: F.col(f"{x}ni").bitwiseAND((1 << 32) - 1))
@@ -102,6 +129,7 @@ def later_similar(classes: DataFrame, t: Fraction, verified: Callable[[DataFrame
         first = W.partitionBy("token").orderBy(F.desc("rows"), "c")
         seen = left.withColumn("p", F.first(F.struct("ni", *sketches, "c")).over(first))
         seen = seen.withColumn("near", fits("", "p.") & (F.col("c") != F.col("p.c")))
+        seen = seen.where("open") if open_ else seen
         other = right.select(*[F.col(c).alias(f"o_{c}") for c in right.columns])
         star = F.col("near") & (F.col("o_c") == F.col("p.c"))
         rest = ~(F.col("near") & (F.col("p.c") < F.col("c"))) & (F.col("o_c") < F.col("c")) & fits("", "o_")
@@ -110,17 +138,11 @@ def later_similar(classes: DataFrame, t: Fraction, verified: Callable[[DataFrame
         both = both.select(F.greatest("c", "o_c").alias("later"), F.least("c", "o_c").alias("earlier"), star.alias("star"))
         return both.groupBy("later", "earlier").agg(F.max("star").alias("star"))
 
-    def checked_pairs(pairs: DataFrame) -> DataFrame:
-        places = classes.select("c", "place")
-        wanted = pairs.select(F.col("later").alias("c")).union(pairs.select("earlier")).distinct().join(places, "c").select("place")
-        for side in ("later", "earlier"):
-            pairs = pairs.join(places.select(F.col("c").alias(side), F.col("place").alias(f"{side}_place")), side)
-        return verified(pairs, wanted)
-
     tokens = each.repartition("token")
     pairs = stored_lean(paired(tokens, tokens), "line-pairs")
     checked = stored_lean(checked_pairs(pairs), "line-checked")
-    gone = checked.where("ok").select("later").distinct()
+    gone = checked.where("ok").select("later")
+    gone = (gone if linked is None else gone.unionByName(known)).distinct()
 
     # Those that only seemed similar to a token's class are paired with all others after all.
     missed = checked.where("not ok and star").select("later").distinct().join(gone, "later", "left_anti")
@@ -137,8 +159,8 @@ def later_similar(classes: DataFrame, t: Fraction, verified: Callable[[DataFrame
 def kept_lines(docs: DataFrame, similarity: float = 0.8, least: int = 1) -> DataFrame:
     """Places of judged lines that stay, ``(id, row, line)``."""
     t = Fraction(similarity).limit_denominator(1000)
-    lines = docs.select("id", "row", F.posexplode(F.split("text", "\n")).alias("line", "body"))
-    lines = lines.select("id", "row", "line", _ranked(_tokens(F.col("body")), _rarity(docs)).alias("v"))
+    lines = docs.select("id", "row", F.posexplode(_lines(F.col("text"))).alias("line", "body"))
+    lines = lines.select("id", "row", "line", _ranked(F.col("body"), _rarity(docs)).alias("v"))
     keep = F.ceil(F.size("v") * F.lit(t.numerator) / F.lit(t.denominator)).cast("int")
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
     none = F.lit(0).cast("long")
