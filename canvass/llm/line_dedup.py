@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from fractions import Fraction
 
@@ -15,6 +16,8 @@ from canvass.llm.store import documents, drop_stored, keyed, stored_lean
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
 RARITY_SLOTS = 1 << 16
+FEW = 1 << 16  # rows of numbers that are sent to all tasks; more are shuffled
+MANY = 32  # from so many classes of a token and band on, one of them answers for those that seem similar to it
 LONG_LINE = 96  # words; from here on a sketch of 64 bits says little, and a line has one of 128
 
 
@@ -50,10 +53,10 @@ def _ranked(line: Column, rarity: Column) -> Column:
 
     def number(h: Column) -> Column:
         step = F.coalesce(F.get(rarity, h.bitwiseAND(RARITY_SLOTS - 1).cast("int")), F.lit(0).cast("tinyint")).cast("long")
-        return F.call_function("shiftleft", step, F.lit(56)) + h.bitwiseAND((1 << 56) - 1)
+        return F.call_function("shiftleft", step, F.lit(56)).bitwiseOR(h.bitwiseAND((1 << 56) - 1))
 
-    hashes = F.array_distinct(F.transform(F.split(line, " "), lambda x: F.xxhash64(x)))
-    return F.sort_array(F.transform(F.array_remove(hashes, F.xxhash64(F.lit(""))), number))
+    hashes = F.array_except(F.transform(F.split(line, " "), lambda x: F.xxhash64(x)), F.array(F.xxhash64(F.lit(""))))
+    return F.sort_array(F.transform(hashes, number))
 
 
 def _similar(t: Fraction, n: Column, m: Column, i: Column, j: Column, a: Column, b: Column) -> Column:
@@ -70,16 +73,20 @@ def _similar(t: Fraction, n: Column, m: Column, i: Column, j: Column, a: Column,
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, places: DataFrame, t: Fraction) -> DataFrame:
-    """Whether the token sets of the lines at ``later_place`` and ``earlier_place`` have Jaccard similarity ``t`` or more.
+    """Whether the token sets of the lines with the numbers ``later`` and ``earlier`` have Jaccard similarity ``t`` or more.
 
-    ``places`` are those of all pairs, each once. Only the word sets of these lines are sent, not their documents, if Spark finds that their places can go to all tasks.
+    ``places`` has the number ``c`` and the ``place`` of each line of the pairs. Only the word sets of these lines are sent, not their
+    documents, if their places can go to all tasks.
     """
-    lists = places.select("place.*").groupBy("id", "row").agg(F.collect_list("line").alias("lines"))
-    found = with_lists(docs, lists, "inner", few=True).withColumn("all", F.split("text", "\n"))
-    found = found.select("id", "row", F.explode("lines").alias("line"), "all")
-    sets = found.select(F.struct("id", "row", "line").alias("p"), _tokens(F.get("all", "line")).alias("set"))
-    both = pairs.join(sets.select(F.col("p").alias("later_place"), F.col("set").alias("a")), "later_place")
-    both = both.join(sets.select(F.col("p").alias("earlier_place"), F.col("set").alias("b")), "earlier_place")
+    lists = places.select("place.id", "place.row", F.struct("place.line", "c").alias("line")).groupBy("id", "row")
+    lists = lists.agg(F.map_from_entries(F.collect_list("line")).alias("numbers"))
+    found = with_lists(docs, lists if places.count() > FEW else F.broadcast(lists), "inner", few=True)
+    # Lines are picked before they become rows, so that no row holds a whole text.
+    lines = F.transform(_lines(F.col("text")), lambda x, k: F.struct(F.try_element_at("numbers", k).alias("c"), x.alias("body")))
+    found = found.select(F.explode(F.filter(lines, lambda x: x["c"].isNotNull())).alias("line"))
+    sets = found.select("line.c", F.array_distinct(F.array_remove(F.split("line.body", " "), "")).alias("set"))
+    both = pairs.join(sets.select(F.col("c").alias("later"), F.col("set").alias("a")), "later")
+    both = both.join(sets.select(F.col("c").alias("earlier"), F.col("set").alias("b")), "earlier")
     common = F.size(F.array_intersect("a", "b"))
     union = F.size("a") + F.size("b") - common
     return both.select("later", "earlier", "star", (common * t.denominator >= union * t.numerator).alias("ok"))
@@ -91,16 +98,14 @@ def later_similar(classes: DataFrame, t: Fraction, verified: Callable[[DataFrame
     ``classes`` has a row for each different set: its number ``c`` in the order of places, ``place``,
     size ``n``, sketch ``bits``, ``prefix`` of rarest tokens, how many ``rows`` have it, and, if there is that column, for long
     sets the ``half`` of the sketch that every other token makes. ``verified`` says of
-    pairs with ``later_place`` and ``earlier_place`` whether they are similar; it is given the ``place`` of each class in them, too.
+    pairs ``(later, earlier, star)`` whether they are similar; it is given ``c`` and ``place`` of each class in them, too.
     ``linked`` are pairs ``(later, earlier)`` that seem similar to another method: they are verified first, and what is
     later in a similar one is not looked at again, but as an earlier set.
     """
 
     def checked_pairs(pairs: DataFrame) -> DataFrame:
-        places = classes.select("c", "place")
-        wanted = pairs.select(F.col("later").alias("c")).union(pairs.select("earlier")).distinct().join(places, "c").select("place")
-        for side in ("later", "earlier"):
-            pairs = pairs.join(places.select(F.col("c").alias(side), F.col("place").alias(f"{side}_place")), side)
+        wanted = pairs.select(F.col("later").alias("c")).union(pairs.select("earlier")).distinct()
+        wanted = stored_lean(classes.select("c", "place").join(wanted, "c"), "line-places")
         return verified(pairs, wanted)
 
     open_ = []
@@ -115,31 +120,51 @@ def later_similar(classes: DataFrame, t: Fraction, verified: Callable[[DataFrame
     each = classes.select(F.posexplode("prefix").alias("i", "token"), "n", *sketches, "c", "rows", *open_).where("token is not null")
     each = each.select("token", "c", *sketches, (F.shiftleft(F.col("n").cast("long"), 32) + F.col("i")).alias("ni"), "rows", *open_)
 
+    def n_(x: str) -> Column:
+        return F.shiftright(f"{x}ni", 32)
+
+    def i_(x: str) -> Column:
+        return F.col(f"{x}ni").bitwiseAND((1 << 32) - 1)
+
     def fits(one: str, two: str) -> Column:
-        n, i = (lambda x: F.shiftright(f"{x}ni", 32)), (lambda x: F.col(f"{x}ni").bitwiseAND((1 << 32) - 1))
-        fit = _similar(t, n(one), n(two), i(one), i(two), F.col(f"{one}bits"), F.col(f"{two}bits"))
+        fit = _similar(t, n_(one), n_(two), i_(one), i_(two), F.col(f"{one}bits"), F.col(f"{two}bits"))
         if "half" not in sketches:
             return fit
         own = F.col(f"{one}half").bitwiseXOR(F.col(f"{two}half"))
         other = own.bitwiseXOR(F.col(f"{one}bits")).bitwiseXOR(F.col(f"{two}bits"))
-        far = (F.bit_count(own) + F.bit_count(other)) * (t.denominator + t.numerator) > (n(one) + n(two)) * (t.denominator - t.numerator)
+        far = (F.bit_count(own) + F.bit_count(other)) * (t.denominator + t.numerator) > (n_(one) + n_(two)) * (t.denominator - t.numerator)
         return fit & ~F.coalesce(far, F.lit(False))
 
-    def paired(left: DataFrame, right: DataFrame) -> DataFrame:
-        first = W.partitionBy("token").orderBy(F.desc("rows"), "c")
-        seen = left.withColumn("p", F.first(F.struct("ni", *sketches, "c")).over(first))
-        seen = seen.withColumn("near", fits("", "p.") & (F.col("c") != F.col("p.c")))
-        seen = seen.where("open") if open_ else seen
-        other = right.select(*[F.col(c).alias(f"o_{c}") for c in right.columns])
-        star = F.col("near") & (F.col("o_c") == F.col("p.c"))
-        rest = ~(F.col("near") & (F.col("p.c") < F.col("c"))) & (F.col("o_c") < F.col("c")) & fits("", "o_")
-        # Both sides' counts are asked for together, so that both are one and the same exchange.
-        both = seen.join(other, (F.col("token") == F.col("o_token")) & (F.col("rows") + F.col("o_rows") > 0) & (star | rest))
-        both = both.select(F.greatest("c", "o_c").alias("later"), F.least("c", "o_c").alias("earlier"), star.alias("star"))
+    def paired() -> DataFrame:
+        # Sizes are in bands so wide that a similar larger set is in the band of the smaller one or the next, and rows meet by token
+        # and band. Of two sets that fit, the smaller has the token among its first ``n * (1 - t) / (1 + t)``: so much follows from
+        # their places and sizes. One side of the join holds these rows only, and the class that answers for others is one of them.
+        width = 1.001 * math.log(t.denominator / t.numerator) + 1e-6
+        band = F.floor(F.log(n_("").cast("double")) / width)
+        small = i_("") * (t.denominator + t.numerator) <= n_("") * (t.denominator - t.numerator)
+        key = F.shiftleft(F.col("token").cast("long"), 32)
+        group = W.partitionBy("key")
+        first = F.when(F.count("*").over(group) >= MANY, F.max(F.when(small, F.struct("rows", (-F.col("c")).alias("d"), "ni", *sketches, "c"))).over(group))
+        seen = each.select((key + band).alias("key"), "c", *sketches, "ni", "rows", *open_).repartition("key")
+        seen = seen.withColumn("p", first).drop("rows")
+        seen = seen.withColumn("star", F.when((F.col("p.c") < F.col("c")) & fits("", "p."), F.col("p.c")))
+        # The largest set that a row with this place and size fits.
+        most = (n_("") * t.denominator - i_("") * (t.denominator + t.numerator) + F.lit(0.5)) / t.numerator
+        bands = F.when(F.floor(F.log(most) / width) > band, F.array(key + band, key + band + 1)).otherwise(F.array(key + band))
+        other = each.where(small).select(F.explode(bands).alias("o_key"), *[F.col(c).alias(f"o_{c}") for c in ("c", *sketches, "ni", *open_)])
+        other = other.repartition("o_key")
+        mine = F.col("c") > F.col("o_c")
+        larger = (n_("") > n_("o_")) | ((n_("") == n_("o_")) & mine)
+        to_first = F.coalesce(F.col("star") == F.col("o_c"), F.lit(False))
+        of_first = F.coalesce(F.col("p.c") == F.col("c"), F.lit(False)) & ~mine
+        answered = F.coalesce((F.col("p.c") < F.col("o_c")) & fits("o_", "p."), F.lit(False))
+        rest = larger & fits("", "o_") & F.when(mine, F.col("star").isNull()).otherwise(of_first | ~answered)
+        found = (to_first & F.col("open")) | (rest & F.when(mine, F.col("open")).otherwise(F.col("o_open"))) if open_ else to_first | rest
+        both = seen.join(other, (F.col("key") == F.col("o_key")) & found)
+        both = both.select(F.greatest("c", "o_c").alias("later"), F.least("c", "o_c").alias("earlier"), (to_first | of_first).alias("star"))
         return both.groupBy("later", "earlier").agg(F.max("star").alias("star"))
 
-    tokens = each.repartition("token")
-    pairs = stored_lean(paired(tokens, tokens), "line-pairs")
+    pairs = stored_lean(paired(), "line-pairs")
     checked = stored_lean(checked_pairs(pairs), "line-checked")
     gone = checked.where("ok").select("later")
     gone = (gone if linked is None else gone.unionByName(known)).distinct()
@@ -149,7 +174,9 @@ def later_similar(classes: DataFrame, t: Fraction, verified: Callable[[DataFrame
     missed = stored_lean(missed.withColumnRenamed("later", "c"), "line-missed")
     if not missed.isEmpty():
         other = each.select(*[F.col(c).alias(f"o_{c}") for c in each.columns])
-        again = each.join(missed, "c", "left_semi").join(other, (F.col("token") == F.col("o_token")) & (F.col("o_c") < F.col("c")) & fits("", "o_"))
+        lost = stored_lean(each.join(missed, "c", "left_semi"), "line-lost")
+        lost = lost if lost.count() > FEW else F.broadcast(lost)
+        again = lost.join(other, (F.col("token") == F.col("o_token")) & (F.col("o_c") < F.col("c")) & fits("", "o_"))
         again = again.select(F.col("c").alias("later"), F.col("o_c").alias("earlier"), F.lit(False).alias("star")).distinct()
         again = stored_lean(again.join(checked, ["later", "earlier"], "left_anti"), "line-pairs")
         gone = gone.unionByName(checked_pairs(again).where("ok").select("later")).distinct()
@@ -177,7 +204,7 @@ def kept_lines(docs: DataFrame, similarity: float = 0.8, least: int = 1) -> Data
     )
     # Not a condition on the words alone: that would be pushed down, and they would be made twice.
     classes = stored_lean(classes.where(F.col("n") * F.least("rows", F.lit(1)) >= max(least, 1)), "line-sets")
-    numbered = stored_lean(classes.sort("place").withColumn("c", F.monotonically_increasing_id()), "line-classes")
+    numbered = stored_lean(classes.sort("place.id", "place.row", "place.line").withColumn("c", F.monotonically_increasing_id()), "line-classes")
     drop_stored(classes)
 
     gone = later_similar(numbered, t, lambda pairs, places: _verified(docs, pairs, places, t))
@@ -228,12 +255,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     stay = kept_lines(keyed(documents(spark, sf_dir)))
     kept = stay.groupBy("id", "row").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("line")), ",").alias("kept_lines"))
-    all_lines = F.split(F.coalesce("text", F.lit("")), "\n")
     counted = [
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(all_lines)).cast("long").alias("n_lines"),
-        F.size(F.filter(all_lines, lambda x: F.rlike(x, F.lit(WORD)))).cast("long").alias("n_judged"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("all_lines")).cast("long").alias("n_lines"),
+        F.size(F.filter("all_lines", lambda x: F.ltrim(x, F.lit(" \t\x0b\x0c\r")) != "")).cast("long").alias("n_judged"),
     ]
-    every = keyed(documents(spark, sf_dir)).select("id", "row", *counted).alias("d")
+    every = keyed(documents(spark, sf_dir)).select("id", "row", "text", F.split(F.coalesce("text", F.lit("")), "\n").alias("all_lines"))
+    every = every.select("id", "row", *counted).alias("d")
     out = every.join(kept.alias("k"), F.col("d.id").eqNullSafe(F.col("k.id")) & (F.col("d.row") == F.col("k.row")), "left")
     return out.select(
         F.col("d.id").alias("doc_id"),
