@@ -17,6 +17,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
 RARITY_SLOTS = 1 << 16
 FEW = 1 << 16  # rows of numbers that are sent to all tasks; more are shuffled
+FEW_PLACES = 1 << 13  # the same for places with their numbers in lists
 MANY = 32  # from so many classes of a token and band on, one of them answers for those that seem similar to it
 LONG_LINE = 96  # words; from here on a sketch of 64 bits says little, and a line has one of 128
 
@@ -80,7 +81,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, places: DataFrame, t: Fraction)
     """
     lists = places.select("place.id", "place.row", F.struct("place.line", "c").alias("line")).groupBy("id", "row")
     lists = lists.agg(F.map_from_entries(F.collect_list("line")).alias("numbers"))
-    found = with_lists(docs, lists if places.count() > FEW else F.broadcast(lists), "inner", few=True)
+    found = with_lists(docs, lists if places.count() > FEW_PLACES else F.broadcast(lists), "inner", few=True)
     # Lines are picked before they become rows, so that no row holds a whole text.
     lines = F.transform(_lines(F.col("text")), lambda x, k: F.struct(F.try_element_at("numbers", k).alias("c"), x.alias("body")))
     found = found.select(F.explode(F.filter(lines, lambda x: x["c"].isNotNull())).alias("line"))
